@@ -56,3 +56,8 @@ def day(expr: str) -> str:
 def stamp(expr: str) -> str:
     """SQL text of a timestamp column in the common output form."""
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def cents(expr: str) -> str:
+    """SQL text of two-digit rounding, half up on the printed decimal value, as Spark rounds doubles."""
+    return f"round(cast(cast({expr} as varchar) as decimal(38, 20)), 2)::double"
