@@ -1 +1,142 @@
+"""Split, models and their evaluation."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tarnlake.operators import evaluation as ev
+from tarnlake.operators.split import stratified_split
+from tarnlake.plans import models
+from tarnlake.sources.scratch import new_path
+
+from .registry import query, table
+
+QUALITY = "case when quality = 1 then 'positive' else 'negative' end"
+
+
+def _labels(spark, sf_dir):
+    return table(spark, sf_dir, "labels").select("doc_id", F.expr(QUALITY).alias("label"))
+
+
+@query("ml_stratified_split", f"""
+with l as (select doc_id, {QUALITY} label from labels),
+per as (select label, count(*) n from l group by label),
+q as (select label, n, floor(n * wanted / total) base, n * wanted / total - floor(n * wanted / total) rest, wanted
+  from (select per.*, (select sum(n) from per)::double total, floor((select sum(n) from per)::double * 0.8::double) wanted from per)),
+quota as (select label, base + case when row_number() over (order by rest desc, label) <=
+    wanted - sum(base) over () then 1 else 0 end quota from q)
+select doc_id, l.label, case when row_number() over (partition by l.label order by md5(doc_id::varchar), doc_id) <= quota
+  then 'train' else 'test' end split from l join quota on l.label = quota.label""")
+def ml_stratified_split(spark, sf_dir):
+    return stratified_split(_labels(spark, sf_dir), "label", "doc_id", 0.8)
+
+
+def _predictions(spark, sf_dir):
+    """A prediction table: documents judged by toxicity alone."""
+    return table(spark, sf_dir, "labels").select(
+        "doc_id", F.expr(QUALITY).alias("label"),
+        F.expr("case when toxic = 1 then 'negative' else 'positive' end").alias("prediction"))
+
+
+PRED = f"pred as (select {QUALITY} label, case when toxic = 1 then 'negative' else 'positive' end prediction from labels)"
+
+
+@query("ml_accuracy", f"""
+with {PRED} select round(avg(case when label = prediction then 1.0::double else 0 end), 9) accuracy, count(*) support
+from pred""")
+def ml_accuracy(spark, sf_dir):
+    return ev.accuracy(_predictions(spark, sf_dir), "label", "prediction").withColumn(
+        "accuracy", F.round("accuracy", 9))
+
+
+@query("ml_class_report", f"""
+with {PRED}, classes as (select label as "class" from pred union select prediction from pred),
+counted as (select c."class", count(*) filter (label = c."class") support, count(*) filter (prediction = c."class") guessed,
+  count(*) filter (label = c."class" and prediction = c."class") hit from classes c, pred group by c."class"),
+per as (select "class", case when guessed > 0 then hit / guessed else 0 end p, case when support > 0 then hit / support else 0 end r,
+  case when guessed + support > 0 then 2 * hit / (guessed + support) else 0 end f, support, hit from counted)
+select "class", round(p, 9) as "precision", round(r, 9) recall, round(f, 9) f1, support from per
+union all select 'accuracy', round(sum(hit) / sum(support), 9), round(sum(hit) / sum(support), 9), round(sum(hit) / sum(support), 9),
+  sum(support)::bigint from per
+union all select 'macro avg', round(avg(p), 9), round(avg(r), 9), round(avg(f), 9), sum(support)::bigint from per
+union all select 'weighted avg', round(sum(p * support) / sum(support), 9), round(sum(r * support) / sum(support), 9),
+  round(sum(f * support) / sum(support), 9), sum(support)::bigint from per""")
+def ml_class_report(spark, sf_dir):
+    out = ev.class_report(_predictions(spark, sf_dir), "label", "prediction")
+    return out.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@query("ml_confusion", f"""
+with {PRED} select prediction predicted, count(*) filter (label = 'negative') actual_negative,
+  count(*) filter (label = 'positive') actual_positive from pred group by prediction""")
+def ml_confusion(spark, sf_dir):
+    return ev.confusion(_predictions(spark, sf_dir), "label", "prediction", ["negative", "positive"])
+
+
+@query("ml_mse", """
+select round(avg((l_extendedprice - l_quantity * 2000) * (l_extendedprice - l_quantity * 2000)), 3) mse, count(*) support
+from lineitem""")
+def ml_mse(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_extendedprice", (F.col("l_quantity") * 2000).alias("guess"))
+    return ev.mean_squared_error(items, "l_extendedprice", "guess").withColumn("mse", F.round("mse", 3))
+
+
+def _texts(spark, sf_dir):
+    return models.prepare(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _train_test(spark, sf_dir):
+    split = stratified_split(_labels(spark, sf_dir), "label", "doc_id", 0.8)
+    rows = _texts(spark, sf_dir).join(split, "doc_id")
+    return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
+
+
+def _named(df):
+    return df.withColumn("prediction", F.when(F.col("prediction") == 1, "positive").otherwise("negative"))
+
+
+@query("ml_sentiment_fit")
+def ml_sentiment_fit(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    fitted = models.fit_sentiment(train)
+    return _named(models.score(fitted.model, test)).drop("text")
+
+
+@query("ml_sentiment_cv")
+def ml_sentiment_cv(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    # The whole grid on all training rows; 100 passes per fit are the bound.
+    fitted = models.fit_sentiment_cv(train, "doc_id", parallelism=8, max_iter=100)
+    return ev.class_report(_named(models.score(fitted.model, test)), "label", "prediction")
+
+
+@query("ml_batch_score")
+def ml_batch_score(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    fitted = models.fit_sentiment(train)
+    return _named(models.score(fitted.model, _texts(spark, sf_dir))).drop("text")
+
+
+@query("ml_model_roundtrip")
+def ml_model_roundtrip(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    fitted = models.fit_sentiment(train)
+    path = new_path(spark, "sentiment-model")
+    models.save_model(fitted.model, path)
+    before = models.score(fitted.model, test).select("doc_id", F.col("prediction").alias("before"))
+    after = models.score(models.load_model(path), test).select("doc_id", F.col("prediction").alias("after"))
+    return before.join(after, "doc_id").withColumn("same", F.col("before") == F.col("after"))
+
+
+@query("ml_kmeans")
+def ml_kmeans(spark, sf_dir):
+    return models.kmeans(table(spark, sf_dir, "embeddings"), "embedding", 3).drop("embedding")
+
+
+@query("ml_rf_regression")
+def ml_rf_regression(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").withColumn("one", F.lit("all"))
+    split = stratified_split(rows, "one", "vec_id", 0.75)
+    model = models.forest(split.where("split = 'train'"), "embedding", "label")
+    return ev.mean_squared_error(models.predict_forest(model, split.where("split = 'test'"), "embedding"),
+                                 "label", "prediction")
