@@ -42,9 +42,8 @@ def collapse_space(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """White-space separated words of a text that may be empty."""
-    flat = collapse_space(text)
-    return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
+    """White-space separated words; none for an empty text."""
+    return F.filter(F.split(collapse_space(text), " "), lambda w: w != "")
 
 
 def drop_emoji(text: Column, strict: bool = False) -> Column:

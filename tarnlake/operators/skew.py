@@ -3,12 +3,11 @@
 AQE splits skewed partitions of a join whose two inputs come straight from a
 shuffle.  It cannot do so when one input is itself a join on the same key, or
 when the result feeds an aggregate on that key.  For those places the hot keys
-are found with a bounded sketch and salted.
+are found by counting rows per hash bucket, and salted.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,22 +16,23 @@ from pyspark.sql import functions as F
 from .keys import as_keys, others
 
 _SALT = "__salt"
+BUCKETS = 4096
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> Column:
-    """Scalar subquery: hashes of the keys that hold at least ``share`` of the rows.
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(BUCKETS)).cast("int")
 
-    At most ``1/share`` keys can qualify, so the array is bounded whatever the table size.
-    The sketch is a partial aggregate over the key columns only; it shuffles one row per task.
+
+def hot_buckets(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> Column:
+    """Scalar subquery: hash buckets of ``keys`` that hold at least ``share`` of the rows.
+
+    Rows are counted per bucket, with partial counts in the map tasks, so the pass reads the key
+    columns only and shuffles at most ``BUCKETS`` rows per task.  At most ``1/share`` buckets qualify.
     """
-    k = math.ceil(1 / share)
-    h = df.select(F.xxhash64(*[F.col(c) for c in keys]).alias("h"))
-    found = h.agg(
-        F.expr(f"approx_top_k(h, {k}, {max(1000, 20 * k)})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    hot = F.filter("top", lambda e: e["count"] >= F.col("n") * share)
-    return found.select(F.transform(hot, lambda e: e["item"]).alias("hot")).scalar()
+    counts = df.groupBy(_bucket(keys).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    every = counts.agg(F.sum("n").alias("total"), F.collect_list(F.struct("b", "n")).alias("l"))
+    hot = F.filter("l", lambda e: e["n"] >= F.col("total") * share)
+    return every.select(F.transform(hot, lambda e: e["b"]).alias("hot")).scalar()
 
 
 def skew_join(
@@ -43,20 +43,22 @@ def skew_join(
     *,
     salts: int = 32,
     share: float = 0.01,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``big`` to ``small`` on equal keys, spreading hot keys of ``big`` over ``salts`` tasks.
+    """Join ``big`` to ``small`` on equal keys, spreading hot buckets of ``big`` over ``salts`` tasks.
 
-    Rows of ``small`` are repeated per salt for hot keys only.  The salt is a hash of the row,
+    Rows of ``small`` are repeated per salt for hot buckets only.  The salt is a hash of the row,
     not a random number, so a task that is run again sends every row to the same place.
+    ``counted`` is where the keys are counted, by default ``big``; give the table that ``big`` is
+    derived from where that saves running its joins for the count.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support how={how!r}")
     keys = as_keys(on)
-    hot = hot_key_hashes(big, keys, share)
+    hot = hot_buckets(big if counted is None else counted, keys, share)
 
     def is_hot() -> Column:
-        return F.array_contains(F.coalesce(hot, F.array().cast("array<bigint>")),
-                                F.xxhash64(*[F.col(c) for c in keys]))
+        return F.array_contains(F.coalesce(hot, F.array().cast("array<int>")), _bucket(keys))
 
     spread = others(big, keys) or keys
     left = big.withColumn(

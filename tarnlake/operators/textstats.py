@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import terms, words
@@ -30,9 +30,12 @@ def tfidf(docs: DataFrame, doc_id: str, text: str, max_features: int = 15_000) -
     terms and the norm per document need no shuffle of the far larger term rows; only
     per-task term totals are shuffled.
     """
-    docs = docs.select(doc_id, text).repartition(doc_id)
-    tf = docs.select(doc_id, F.explode(terms(F.col(text))).alias("term")).groupBy(doc_id, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+    # explode_outer: a plain explode would make Spark infer filters that run the expressions again.
+    # The null test on the id is what the join below would add; stated here, both reads are alike.
+    tokens = docs.where(F.col(doc_id).isNotNull()).select(
+        doc_id, terms(F.col(text)).alias("__terms")).repartition(doc_id)
+    tf = tokens.select(doc_id, F.explode_outer("__terms").alias("term")).where(F.col("term").isNotNull()).groupBy(
+        doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     vocabulary = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).orderBy(
         F.desc("total"), F.asc("term")).limit(max_features)
@@ -41,8 +44,9 @@ def tfidf(docs: DataFrame, doc_id: str, text: str, max_features: int = 15_000) -
     weights = vocabulary.select("term", idf.alias("idf"))
     raw = tf.join(F.broadcast(weights), "term").select(
         doc_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = raw.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, doc_id).select(doc_id, "term", "tf", (F.col("w") / F.col("norm")).alias("tfidf"))
+    # The rows of a document are its distinct terms, at most max_features.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
+    return raw.select(doc_id, "term", "tf", (F.col("w") / norm).alias("tfidf"))
 
 
 def _detached(word: Column) -> Column:
@@ -75,7 +79,7 @@ def lemma_table(vocabulary: DataFrame, dictionary: DataFrame, exceptions: DataFr
     own = F.array(F.struct(F.lit(0).alias("level"), F.length(w).alias("len"), F.lit(0).alias("ord"), w.alias("form")))
     tagged = F.concat(own, *[tag(f, i) for i, f in enumerate(levels)])
     distinct = vocabulary.select("word").distinct()
-    candidates = distinct.select("word", F.explode(tagged).alias("c")).select("word", "c.*")
+    candidates = distinct.select("word", F.explode_outer(tagged).alias("c")).select("word", "c.*")
     known = dictionary.select(F.col("word").alias("form")).distinct()
     found = candidates.join(known, "form").groupBy("word").agg(
         F.min_by("form", F.struct("level", "len", "ord")).alias("lemma"))
@@ -92,7 +96,8 @@ def lemmatize(docs: DataFrame, doc_id: str, text: str, lemmas: DataFrame) -> Dat
     come back, as one small map per document.
     """
     tokens = docs.select(doc_id, words(F.col(text)).alias("__words"))
-    seen = tokens.select(doc_id, F.explode(F.array_distinct("__words")).alias("word"))
+    seen = tokens.select(doc_id, F.explode_outer(F.array_distinct("__words")).alias("word")).where(
+        F.col("word").isNotNull())
     changed = skew_join(seen, lemmas, "word").groupBy(doc_id).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("__map"))
     replaced = F.transform("__words", lambda t: F.coalesce(F.col("__map")[t], t))

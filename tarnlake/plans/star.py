@@ -98,7 +98,7 @@ def _fact(item, order, payment, review, per_order, product, customer, seller, da
     items = (item.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
              .join(product.select("product_id"), "product_id")
              .join(seller.select("seller_id"), "seller_id"))
-    return skew_join(items, orders, "order_id").select(*FACT_COLUMNS)
+    return skew_join(items, orders, "order_id", counted=item).select(*FACT_COLUMNS)
 
 
 def fact_table(item, order, payment, review, order_dim, product, customer, seller, date) -> DataFrame:

@@ -9,6 +9,8 @@ from tarnlake.operators.split import stratified_split
 from tarnlake.plans import models
 from tarnlake.sources.scratch import new_path
 
+from tarnlake.sources.files import spread
+
 from .registry import query, table
 
 QUALITY = "case when quality = 1 then 'positive' else 'negative' end"
@@ -82,7 +84,7 @@ def ml_mse(spark, sf_dir):
 
 
 def _texts(spark, sf_dir):
-    return models.prepare(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return models.prepare(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def _train_test(spark, sf_dir):

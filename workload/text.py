@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tarnlake.functions.text import clean_text, sentiment_label, words
 from tarnlake.operators import textstats as ops
 
+from tarnlake.sources.files import spread
+
 from .proxies import ctes, proxy
 from .registry import query, table
 
@@ -30,9 +32,9 @@ select 'page' kind, page_id id, {sql_clean("url || ' ' || html")} as "text" from
 union all select 'document', doc_id, {sql_clean('"text"')} from documents
 union all select 'turn', conv_id * 1000 + turn, {sql_clean('"text"')} from conversations""")
 def text_clean(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(
-        F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.concat_ws(" ", "url", "html").alias("text"))
-    docs = table(spark, sf_dir, "documents").select(F.lit("document"), "doc_id", "text")
+    pages = spread(table(spark, sf_dir, "pages").select(
+        F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.concat_ws(" ", "url", "html").alias("text")))
+    docs = spread(table(spark, sf_dir, "documents").select(F.lit("document"), "doc_id", "text"))
     turns = table(spark, sf_dir, "conversations").select(
         F.lit("turn"), F.col("conv_id") * 1000 + F.col("turn"), "text")
     return pages.union(docs).union(turns).withColumn("text", clean_text(F.col("text")))
@@ -60,7 +62,7 @@ select raw.doc_id, raw.term, raw.tf, round(w / norm, 8) tfidf from raw join norm
 
 @query("text_tfidf", sql_tfidf(15000))
 def text_tfidf(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("body"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", clean_text(F.col("text")).alias("body"))
     return ops.tfidf(docs, "doc_id", "body", 15000).withColumn("tfidf", F.round("tfidf", 8))
 
 
@@ -90,8 +92,8 @@ select doc_id, string_agg(coalesce(best.form, spread.word), ' ' order by pos) as
 from spread left join best on spread.word = best.word group by doc_id""")
 def text_lemmatize(spark, sf_dir):
     """The words of the benchmark texts serve as the dictionary."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", clean_text(F.col("text")).alias("text"))
     bench = table(spark, sf_dir, "benchmark").select(clean_text(F.col("text")).alias("text"))
-    vocabulary = docs.select(F.explode(words(F.col("text"))).alias("word"))
-    dictionary = bench.select(F.explode(words(F.col("text"))).alias("word"))
+    vocabulary = docs.select(F.explode_outer(words(F.col("text"))).alias("word"))
+    dictionary = bench.select(F.explode_outer(words(F.col("text"))).alias("word"))
     return ops.lemmatize(docs, "doc_id", "text", ops.lemma_table(vocabulary, dictionary))
