@@ -31,7 +31,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, quartiles and max; one row per numeric column."""
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column_name", "value").where(F.col("value").isNotNull())
+        [], cols, "column_name", "value").where(F.col("value").isNotNull() & ~F.isnan("value"))
     quart = exact_quantiles(long, "value", QUARTILES, ["column_name"])
     basic = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev("value").alias("std"),
@@ -44,7 +44,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 36) -> DataFrame:
     """Equal-width density histogram; the last bin holds its right edge, empty bins stay."""
     v = F.col(col).cast("double")
-    values = df.select(v.alias("__v")).where(v.isNotNull())
+    values = df.select(v.alias("__v")).where(v.isNotNull() & ~F.isnan(v))
     span = values.agg(F.struct(F.min("__v").alias("lo"), F.max("__v").alias("hi"),
                                F.count(F.lit(1)).alias("n")).alias("s")).scalar()
     flat = span["lo"] == span["hi"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                  merge_schema: bool = False) -> DataFrame:
     """Parquet with the given schema; with ``merge_schema`` files of an evolving table are united."""
     reader = spark.read.option("mergeSchema", merge_schema)
@@ -23,7 +23,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     writer.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """Comma-separated, double-quoted file with a header and LF or CRLF line ends.
 
     A file whose quoted fields hold line breaks needs ``multi_line``, which reads each file in

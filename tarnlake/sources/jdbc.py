@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .schemas import TableSpec
+
 # Rows per fetch and per write batch.
 FETCH_SIZE = 10_000
 BATCH_SIZE = 1_000
@@ -30,6 +32,11 @@ def scan(spark: SparkSession, url: str, table: str, **kw) -> DataFrame:
     return spark.read.format("jdbc").options(**scan_options(url, table, **kw)).load()
 
 
+def extract(spark: SparkSession, url: str, spec: TableSpec, **kw) -> DataFrame:
+    """Full extract of a registered source table."""
+    return scan(spark, url, spec.source_table, **kw)
+
+
 def keys_query(table: str, key_sql: str, target: str) -> str:
     """Subquery that projects one, possibly computed, key under the target's key name."""
     return f"(SELECT {key_sql} AS {target} FROM {table}) t"

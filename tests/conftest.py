@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
     s = (SparkSession.builder.master("local[8]").appName("tests")
          .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
          .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.maxMetadataStringLength", "10000").config("spark.sql.debug.maxToStringFields", "1000")
          .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
          .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

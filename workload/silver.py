@@ -47,7 +47,7 @@ CASES: dict[str, Case] = {
                     cleaned={c: f"trunc({c})::bigint" for c in (
                         "product_description_length", "product_length_cm", "product_height_cm",
                         "product_width_cm")}),
-    "order_item": Case("p_order_item", "price > 80000", {"price": "price * 0.95e0"}, "seller_id < 10",
+    "order_item": Case("p_order_item", "price > 80000", {"price": "price * 0.95e0"}, "price < 20000",
                        cleaned={"price": cents("price"), "freight_value": cents("freight_value")}),
     "payment": Case("p_payment", "payment_type = 'VOUCHER' or payment_type = '2-HIGH'",
                     {"payment_value": "payment_value * 1.01e0"}, "payment_type = '5-LOW'",
