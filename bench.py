@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from workload import QUERIES
 
-HEADLINE = ["mart_sales", "gold_fact", "gold_fact_grain", "cdc_upsert", "cdc_dedup_latest", "cdc_dedup_composite",
+HEADLINE = ["gold_fact", "gold_fact_grain", "mart_sales", "cdc_upsert", "cdc_dedup_latest", "cdc_dedup_composite",
             "cdc_soft_delete", "cdc_silver_step", "tbl_version_as_of", "silver_order_item", "prof_describe",
             "prof_crosstab", "text_clean", "text_tfidf"]
 RUNS = 3

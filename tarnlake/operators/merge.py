@@ -12,11 +12,17 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import all_set, as_keys, others, require_columns
+from .keys import all_set, as_keys, null_spread, others, require_columns
 
 ACTIVE = "is_active"
 
 
+def _left_join(target: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on the keys; target rows with a null key are spread over tasks and match nothing."""
+    return target.withColumn("__nk", null_spread(target, keys)).join(
+        right.withColumn("__nk", F.lit(0).cast("bigint")), [*keys, "__nk"], "left").drop("__nk")
+
+
 def _source_key_counts(source: DataFrame, keys: list[str]) -> DataFrame:
     return source.where(all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
 
@@ -40,7 +46,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> D
         # Only keys of the source meet the target: a small batch is broadcast, and the
         # target's wide rows then pass through without a shuffle.
         hits = _source_key_counts(source, keys)
-        untouched = target.join(hits, keys, "left").where(
+        untouched = _left_join(target, hits, keys).where(
             F.when(F.col("__n").isNull(), F.lit(True))
             .when(F.col("__n") == 1, F.lit(False))
             .otherwise(clash.cast("boolean")))
@@ -50,7 +56,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> D
     batch = source.where(all_set(keys)).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), F.first(F.struct(*payload, F.lit(1).alias("__one"))).alias("__s"))
     matched = F.col("__n").isNotNull()
-    current = target.join(batch, keys, "left").where(
+    current = _left_join(target, batch, keys).where(
         F.when(~matched | (F.col("__n") == 1), F.lit(True)).otherwise(clash.cast("boolean")))
     current = current.withColumns(
         {c: F.when(matched, F.col(f"__s.{c}")).otherwise(F.col(c)) for c in payload})
@@ -107,7 +113,7 @@ def soft_delete(target: DataFrame, source_keys: DataFrame, keys: str | Sequence[
         elif not isinstance(deleted_at, Column):
             deleted_at = F.lit(deleted_at)
         changed[stamp] = F.when(gone, deleted_at.cast(target.schema[stamp].dataType)).otherwise(F.col(stamp))
-    joined = target.join(present, keys, "left")
+    joined = _left_join(target, present, keys)
     return joined.withColumns(changed).select(target.columns)
 
 

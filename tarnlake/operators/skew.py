@@ -35,6 +35,12 @@ def hot_buckets(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> Colu
     return every.select(F.transform(hot, lambda e: e["b"]).alias("hot")).scalar()
 
 
+def _will_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast ``df``."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= int(limit)
+
+
 def skew_join(
     big: DataFrame,
     small: DataFrame,
@@ -49,12 +55,15 @@ def skew_join(
 
     Rows of ``small`` are repeated per salt for hot buckets only.  The salt is a hash of the row,
     not a random number, so a task that is run again sends every row to the same place.
-    ``counted`` is where the keys are counted, by default ``big``; give the table that ``big`` is
+    A ``small`` side whose estimated size is below the session's broadcast threshold needs no salt:
+    Spark broadcasts it.  ``counted`` is where the keys are counted, by default ``big``; give the table that ``big`` is
     derived from where that saves running its joins for the count.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support how={how!r}")
     keys = as_keys(on)
+    if _will_broadcast(small):
+        return big.join(small, keys, how)
     hot = hot_buckets(big if counted is None else counted, keys, share)
 
     def is_hot() -> Column:

@@ -2,8 +2,8 @@
 
 Dimension joins carry no broadcast hints: Spark broadcasts a side only when its size,
 estimated or measured at run time, is below the session's threshold, and otherwise splits
-skewed shuffle partitions.  The one join that it could not split, items with the chain of
-order-level joins, goes through ``skew_join``.
+skewed shuffle partitions.  Spark cannot split a join with a side that is itself an aggregate,
+a window or a join on the same key; those joins go through ``skew_join``.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def dim_customer(customer: DataFrame, geolocation: DataFrame, active_only: bool
         F.col("geolocation_zip_code_prefix").alias(zip_code)).agg(F.min(F.struct(*GEO)).alias("p"))
     one = one_per_key(active_rows(customer, active_only).select("customer_id", "customer_unique_id", zip_code),
                       "customer_id")
-    return one.join(place, zip_code, "left").select(
+    return skew_join(one, place, zip_code, "left", counted=customer).select(
         "customer_id", "customer_unique_id",
         F.col("p.geolocation_city").alias("customer_city"), F.col("p.geolocation_state").alias("customer_state"),
         F.col("p.geolocation_lat").alias("customer_lat"), F.col("p.geolocation_lng").alias("customer_lng"))
@@ -89,9 +89,9 @@ def _fact(item, order, payment, review, per_order, product, customer, seller, da
 
     Only the keys of the dimensions are read here; their payload is joined in the mart.
     """
-    orders = (order.select("order_id", "customer_id", F.col("order_purchase_timestamp").alias("full_date"))
-              .join(date.select("full_date", "dateKey"), "full_date")
-              .join(customer.select("customer_id"), "customer_id"))
+    orders = order.select("order_id", "customer_id", F.col("order_purchase_timestamp").alias("full_date")).join(
+        date.select("full_date", "dateKey"), "full_date")
+    orders = skew_join(orders, customer.select("customer_id"), "customer_id", counted=order)
     orders = per_order(orders).join(
         payment.select("order_id", "payment_value", "payment_installments", "payment_sequential"), "order_id"
     ).join(review.select("order_id", "review_id"), "order_id").drop("full_date")
@@ -124,17 +124,20 @@ def fact_table_clean(item, order, payment, review, order_dim, product, customer,
     return _fact(item, order, payment, review, present, product, customer, seller, date)
 
 
-def sales_mart(fact, order_dim, product, customer, seller, date) -> DataFrame:
+def sales_mart(fact, order_dim, product, customer, seller, date, counted: DataFrame | None = None) -> DataFrame:
     """Fact with all dimensions, one row per order and unique customer: the smallest, by fact columns first.
 
     The order dimension's columns come last in that order, so its smallest row per order is
     taken before the join; the result is the same and the join does not multiply rows.
+    ``counted`` tells how rows spread over orders and customers, by default the fact itself; give the
+    orders where the fact is not a written table.
     """
     lowest = order_dim.groupBy("order_id").agg(
         F.min(F.struct("order_status", "payment_type")).alias("__o")).select(
         "order_id", F.col("__o.order_status").alias("order_status"), F.col("__o.payment_type").alias("payment_type"))
-    wide = (fact.join(customer, "customer_id").join(seller, "seller_id").join(product, "product_id")
-            .join(date, "dateKey").join(lowest, "order_id"))
+    counted = fact if counted is None else counted
+    wide = fact.join(seller, "seller_id").join(product, "product_id").join(date, "dateKey")
+    wide = skew_join(skew_join(wide, customer, "customer_id", counted=counted), lowest, "order_id", counted=counted)
     keys = ["order_id", "customer_unique_id"]
     order = [c for c in FACT_COLUMNS if c not in keys] + ["order_status", "payment_type"]
     return one_per_key(wide, keys, order)

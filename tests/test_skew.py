@@ -16,6 +16,13 @@ def sides(spark):
     return big, small.unionByName(spark.createDataFrame([(0, -1), (None, -2)], "k bigint, w bigint"))
 
 
+@pytest.fixture(autouse=True)
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_same_rows_as_a_plain_join(spark, sides, how):
     big, small = sides
@@ -25,17 +32,27 @@ def test_same_rows_as_a_plain_join(spark, sides, how):
 
 def test_hot_key_is_spread(spark, sides):
     big, small = sides
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         per_task = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
         unique = small.where("k is not null").groupBy("k").agg(F.max("w").alias("w"))
         assert per_task(skew_join(big, unique, "k")) < 0.6 * per_task(big.join(unique, "k"))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_small_side_is_left_to_spark(spark, sides):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert "__salt" not in skew_join(sides[0], spark.range(9).withColumnRenamed("id", "k"), "k")._jdf.queryExecution().analyzed().toString()
+
+
+def test_null_keys_are_spread_in_a_merge(spark):
+    from tarnlake.operators.merge import upsert
+    target = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    out = upsert(target, spark.createDataFrame([(2, -1), (None, -2)], "k bigint, v bigint"), "k")
+    assert out.count() == 20_001 and rows(out.where("v < 0")) == [(None, -2), (2, -1)]
+
+
 def test_unsupported_join_type(sides):
     with pytest.raises(ValueError):
         skew_join(*sides, "k", "full_outer")

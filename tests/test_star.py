@@ -70,7 +70,7 @@ def test_mart_keeps_one_row_per_order_and_customer(shop):
     mart = star.sales_mart(star.fact_table(*facts(shop)), order_dim, product, customer, seller, day)
     assert rows(mart, "order_id", "customer_unique_id", "payment_sequential", "payment_type", "price") == [
         ("o1", "u1", 2, "card", 5.0), ("o2", "u1", 1, "card", 7.0)]
-    assert len(mart.columns) == len(set(mart.columns)) == 37
+    assert len(mart.columns) == len(set(mart.columns)) == 38
 
 
 def test_active_only(spark, shop):

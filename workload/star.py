@@ -146,4 +146,5 @@ select * exclude (rn) from (select *, row_number() over (partition by order_id,
 where rn = 1""")
 def mart_sales(spark, sf_dir):
     s = _Star(spark, sf_dir)
-    return star.sales_mart(star.fact_table(*s.parts()), s.order_dim, s.product, s.customer, s.seller, s.date)
+    return star.sales_mart(star.fact_table(*s.parts()), s.order_dim, s.product, s.customer, s.seller, s.date,
+                           counted=s.order)
