@@ -8,15 +8,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only where that is unset, as in local tests, a temporary folder is made and set.
+    Only where that is unset, as in local tests, a temporary folder is made, one per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tarnlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="tarnlake-")
+        root = _LOCAL[app]
     return root.rstrip("/")
 
 
