@@ -1,4 +1,4 @@
-"""Joins, aggregates, sorts, predicates and date functions as the reference jobs use them."""
+"""Joins, aggregates, sorts, predicates and date functions as retail batch jobs use them."""
 
 from __future__ import annotations
 
