@@ -13,7 +13,7 @@ from tarnlake.llm.tables import read, written
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
     rated = quality_rules.rate(docs, trusted_ids(spark, sf_dir), keep=docs.columns)
-    return rated.where("found.kept").select(docs.columns)
+    return rated.where("__found.kept").select(docs.columns)
 
 
 STAGES = [("quality_rules", quality)]

@@ -128,7 +128,7 @@ def rules(texts: spans.Text, ratio: np.ndarray, threshold: float) -> list[np.nda
 
 def rate(docs: DataFrame, trusted: DataFrame, keep: Sequence[str] = ("doc_id",), threshold: float = THRESHOLD,
          text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``keep`` columns of every document and a struct ``found`` of FIELDS.
+    """``keep`` columns of every document and a struct ``__found`` of FIELDS.
 
     ``trusted`` holds the ids of the trusted documents. Two passes over the texts, no shuffle of texts if the
     trusted ids are few enough to broadcast.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import packing, quality_rules
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,4 +27,22 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return quality_rules.rate(docs, trusted_ids(spark, sf_dir)).select("doc_id", F.col("found.*"))
+    return quality_rules.rate(docs, trusted_ids(spark, sf_dir)).select("doc_id", F.col("__found.*"))
+
+
+def tokenizer_json(path: str | None = None) -> str:
+    """The definition of a tokenizer, by default the public one with word ends."""
+    import public_tokenizers
+
+    with open(path or public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents"), tokenizer_json())
+    found = F.col("__found")
+    return pieces.select("doc_id", found["start"].alias("start"), found["length"].alias("length"),
+                         F.crc32(found["ids"]).alias("ids_crc32"), found["doc_tokens"].alias("doc_tokens"),
+                         found["sequence_id"].alias("sequence_id"), found["offset"].alias("offset"),
+                         found["tier"].cast("long").alias("tier"), found["step_id"].alias("step_id"))

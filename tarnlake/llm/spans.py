@@ -108,7 +108,7 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def per_text(df: DataFrame, fn: Callable[[Text], list], ddl: str, keep: Sequence[str], name: str = "found",
+def per_text(df: DataFrame, fn: Callable[[Text], list], ddl: str, keep: Sequence[str], name: str = "__found",
              text: str = "text") -> DataFrame:
     """The columns ``keep`` and a struct column ``name`` that ``fn`` makes of each row's text.
 
