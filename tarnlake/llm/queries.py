@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules
+from . import decontaminate, packing, quality_rules
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,36 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.crc32(found["ids"]).alias("ids_crc32"), found["doc_tokens"].alias("doc_tokens"),
                          found["sequence_id"].alias("sequence_id"), found["offset"].alias("offset"),
                          found["tier"].cast("long").alias("tier"), found["step_id"].alias("step_id"))
+
+
+_WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}')"
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    found = F.col("__found")
+    return judged.select("doc_id", found["n_words"].alias("n_words"), found["n_hit"].alias("n_hit"),
+                         F.size(found["items"]).cast("long").alias("n_items"),
+                         F.sha2(F.array_join(found["items"], ","), 256).alias("items_sha256"),
+                         found["contaminated"].alias("contaminated"))
+
+
+ORACLES["op9_decontamination"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {d} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS i, item_id, {b} AS w FROM benchmark),
+bw AS (SELECT i, item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[k:k + 12], ' ') AS s FROM bw),
+lengths AS (SELECT DISTINCT n FROM windows),
+dw AS (SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS s
+       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, lengths WHERE len(w) >= n)),
+found AS (SELECT r, k, dw.n, item_id FROM dw JOIN windows ON dw.n = windows.n AND dw.s = windows.s),
+hit AS (SELECT r, count(*) AS n_hit FROM
+        (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(k, k + n)) AS p FROM found)) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(cast(item_id AS varchar), ',' ORDER BY cast(item_id AS varchar)) AS l
+        FROM (SELECT DISTINCT r, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+""".format(d=_WORDS.format(text="text", word=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"),
+           b=_WORDS.format(text="text", word=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).strip()
