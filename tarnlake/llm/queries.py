@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality_rules
+from . import decontaminate, ngram_join, packing, quality_rules
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,23 @@ SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coal
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """.format(d=_WORDS.format(text="text", word=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"),
            b=_WORDS.format(text="text", word=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).strip()
+
+
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes_of(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_ngram_join"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, {d} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') || CASE WHEN len(w) < 5 THEN '#' ELSE '' END AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id
+          GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN size p ON a = p.doc_id JOIN size q ON b = q.doc_id
+          WHERE 100 * k >= 80 * (p.n + q.n - k)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(d.doc_id, coalesce(min(b), d.doc_id)) AS component_id
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+""".format(d=_WORDS.format(text="text", word=r"[^\x20\x09-\x0D]+")).strip()
