@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, packing, quality_rules
+from . import decontaminate, line_dedup, ngram_join, packing, quality_rules
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,28 @@ reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach
 SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(d.doc_id, coalesce(min(b), d.doc_id)) AS component_id
 FROM d LEFT JOIN size USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """.format(d=_WORDS.format(text="text", word=r"[^\x20\x09-\x0D]+")).strip()
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", F.col("__found.n_lines").alias("n_lines"), F.col("__found.n_removed").alias("n_removed"),
+                       F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+ORACLES["op7_line_dedup"] = r"""
+WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i - 1 AS line, ls[i] AS t FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM raw)),
+w AS (SELECT doc_id, line, t, {d} AS w FROM l),
+p AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS s FROM w WHERE len(w) > 0),
+u AS (SELECT s, any_value(w) AS w, min((doc_id, line)) AS first FROM p GROUP BY s),
+v AS (SELECT s, first, i, array_to_string(w[:i - 1] || w[i + 1:], ' ') AS k
+      FROM (SELECT s, w, first, unnest(range(1, len(w) + 1)) AS i FROM u WHERE len(w) >= 8)),
+near AS (SELECT s FROM (SELECT s, first, min(first) OVER (PARTITION BY i, k) AS other FROM v) WHERE other < first
+         UNION SELECT v.s FROM v JOIN u ON v.k = u.s WHERE u.first < v.first AND len(u.w) >= 8
+         UNION SELECT u.s FROM v JOIN u ON v.k = u.s WHERE v.first < u.first AND len(u.w) >= 8),
+gone AS (SELECT doc_id, line FROM p JOIN u USING (s) WHERE (doc_id, line) <> first OR s IN (SELECT s FROM near))
+SELECT l.doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
+       md5(coalesce(string_agg(t, chr(10) ORDER BY l.line) FILTER (gone.line IS NULL), '')) AS text_md5
+FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.line = gone.line GROUP BY l.doc_id
+""".format(d=_WORDS.format(text="t", word=r"[^\x20\x09-\x0D]+")).strip()

@@ -75,12 +75,28 @@ def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside & ~before[:-1]), np.flatnonzero(inside & ~after[1:]) + 1
 
 
+def running(values: np.ndarray) -> np.ndarray:
+    """Running polynomial sums of 64-bit values, from which ``between`` hashes any stretch of them."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(len(values) + 1)[0][:len(values)], out=total[1:])
+    return total
+
+
+def between(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches from ``starts`` to before ``ends``."""
+    return mix((total[ends] - total[starts]) * _powers(len(total))[1][starts] + mix((ends - starts).astype(np.uint64)))
+
+
+def without_one(total: np.ndarray, starts: np.ndarray, ends: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``between`` as it would be if the value at ``gone`` were not there."""
+    down = _powers(len(total) + 1)[1]
+    left = (total[gone] - total[starts]) * down[starts] + (total[ends] - total[gone + 1]) * down[starts + 1]
+    return mix(left + mix((ends - starts - 1).astype(np.uint64)))
+
+
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, by differences of one running polynomial."""
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + mix((ends - starts).astype(np.uint64)))
+    """64-bit hashes of byte spans."""
+    return between(running(_BYTE[data]), starts, ends)
 
 
 def row_of(at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
