@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .wordpieces import Encoder
+from .wordpieces import encoder, turns
 
 TIERS = (2048, 1024, 512, 256)
 #: Tokens packed together, tokens of a step, and the end-of-document id.
@@ -121,7 +121,7 @@ def pack(docs: DataFrame, definition: str, keep: Sequence[str] = ("doc_id",), te
     end = end_id.to_bytes(4, "little")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encode_all = encoder(sent.value).encode_all
         task = TaskContext.get().partitionId() << 36
         sequences = steps = 0
 
@@ -160,22 +160,13 @@ def pack(docs: DataFrame, definition: str, keep: Sequence[str] = ("doc_id",), te
         carried: list[tuple[int, int]] = []
         held = 0
         for batch in batches:
-            texts = batch.column(0)
-            lo = 0
-            while lo < len(batch):
-                hi = lo
-                new, chars = [], 0
-                while hi < len(batch) and chars < 1 << 20:
-                    new.append(texts[hi].as_py())
-                    chars += len(new[-1] or "")
-                    hi += 1
-                encoder.warm(new)
-                new = [encoder.encode(x) + end for x in new]
+            texts = batch.column(0).to_pylist()
+            for lo, hi in turns([len(x or "") for x in texts], 1 << 20):
+                new = [x + end for x in encode_all(texts[lo:hi])]
                 ids += new
                 held += sum(map(len, new)) // 4
                 for part, column in zip(parts, batch.columns[1:]):
                     part.append(column.slice(lo, hi - lo))
-                lo = hi
                 if held >= group:
                     made, (ids, columns, carried) = flush(ids, [pa.concat_arrays(p) for p in parts], carried, False)
                     parts, held = [[c] for c in columns], 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, quality_rules
+from . import decontaminate, line_dedup, ngram_join, packing, quality_rules, token_counts
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,8 @@ SELECT l.doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
        md5(coalesce(string_agg(t, chr(10) ORDER BY l.line) FILTER (gone.line IS NULL), '')) AS text_md5
 FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.line = gone.line GROUP BY l.doc_id
 """.format(d=_WORDS.format(text="t", word=r"[^\x20\x09-\x0D]+")).strip()
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_json()).select("doc_id", F.col("__found.*"))

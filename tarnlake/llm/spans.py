@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -23,7 +25,12 @@ LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.ui
 _U = np.uint64
 _BYTE = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-_POW: list[np.ndarray] = []
+
+
+def per_process(name: str) -> dict:
+    """A dictionary that lives as long as the Python process, across the tasks that it runs."""
+    store = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
+    return store.__dict__.setdefault(name, {})
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,11 +42,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64."""
-    if not _POW or len(_POW[0]) < n:
-        n = 1 << max(16, (n - 1).bit_length())
-        _POW[:] = [np.concatenate([[_U(1)], np.full(n - 1, b, np.uint64)]).cumprod(dtype=np.uint64)
-                   for b in (_U(_BASE), _U(pow(_BASE, -1, 2**64)))]
-    return _POW[0][:n], _POW[1][:n]
+    kept = per_process("powers")
+    if len(kept.get("up", ())) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
+            kept[name] = np.concatenate([[_U(1)], np.full(size - 1, base, np.uint64)]).cumprod(dtype=np.uint64)
+    return kept["up"][:n], kept["down"][:n]
 
 
 class Text:
@@ -57,6 +65,10 @@ class Text:
     def __len__(self) -> int:
         return len(self.at) - 1
 
+    def strings(self) -> list[str]:
+        raw = self.data.tobytes()
+        return [raw[a:b].decode() for a, b in zip(self.at[:-1].tolist(), self.at[1:].tolist())]
+
     def blocks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, bytes, offsets) of runs of rows of at most BLOCK bytes or one row."""
         lo = 0
@@ -124,23 +136,24 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def per_text(df: DataFrame, fn: Callable[[Text], list], ddl: str, keep: Sequence[str], name: str = "__found",
-             text: str = "text") -> DataFrame:
+def per_text(df: DataFrame, fn: Callable[..., list], ddl: str, keep: Sequence[str], name: str = "__found",
+             text: str = "text", also: Sequence[str] = ()) -> DataFrame:
     """The columns ``keep`` and a struct column ``name`` that ``fn`` makes of each row's text.
 
     Results stand in a struct, so that input columns of the same names do no harm. ``fn`` gets a
-    batch of texts and returns one array for each field of ``ddl``, in that order.
+    batch of texts, and of the columns ``also``, and returns one array for each field of ``ddl``, in that order.
     """
     kept = [f for c in keep for f in df.schema.fields if f.name == c]
     out = T.StructType([*kept, T.StructField(name, T.StructType.fromDDL(ddl))])
     arrow = to_arrow_schema(out)
-    kinds = arrow.field(name).type
+    kinds, n = arrow.field(name).type, len(also)
 
     def run(batches):
         for batch in batches:
             made = [pa.array(x, kinds[i].type) if not isinstance(x, pa.Array) else x.cast(kinds[i].type)
-                    for i, x in enumerate(fn(Text(batch.column(0))))]
+                    for i, x in enumerate(fn(Text(batch.column(0)), *batch.columns[1:1 + n]))]
             found = pa.StructArray.from_arrays(made, fields=list(kinds))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], names=arrow.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1 + n:], found], names=arrow.names)
 
-    return df.select(F.col(text).alias("__text"), *[F.col(f.name) for f in kept]).mapInArrow(run, out)
+    columns = [F.col(text).alias("__text"), *[F.col(c).alias(f"__also{i}") for i, c in enumerate(also)]]
+    return df.select(*columns, *[F.col(f.name) for f in kept]).mapInArrow(run, out)

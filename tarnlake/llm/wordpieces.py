@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from .spans import per_process
+
 #: How the tokenizer splits lower-cased text, for the characters of _PLAIN. Fixed values of the vocabulary file.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Other characters, and the marker of special tokens, take the tokenizer's own path.
@@ -31,6 +33,34 @@ def slices(text: str, size: int = SLICE) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def turns(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of items whose sizes come to ``most`` or little over."""
+    lo = held = 0
+    for i, size in enumerate(sizes, 1):
+        held += size
+        if held >= most:
+            yield lo, i
+            lo, held = i, 0
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+class Splitter:
+    """Words of a text as the tokenizer normalises and splits it."""
+
+    def __init__(self, definition: str) -> None:
+        self.tokenizer = Tokenizer.from_str(definition)
+
+    def words(self, text: str) -> Iterator[list[str]]:
+        """The words, in lists of bounded length."""
+        for part in slices(text):
+            if _OTHER.search(part) is None:
+                yield _PIECE.findall(part.lower())
+            else:  # the tokenizer's own steps; special tokens are ordinary text here
+                plain = self.tokenizer.normalizer.normalize_str(part)
+                yield [plain[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
+
+
 class Encoder:
     """Ids as ``tokenizers`` gives them without special tokens, as little-endian 32-bit bytes.
 
@@ -44,6 +74,7 @@ class Encoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith(_WORD_END)]] = True
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
@@ -64,32 +95,47 @@ class Encoder:
         """The words that are encoded apart, or None for a text that must be encoded whole."""
         return None if _OTHER.search(text) else _PIECE.findall(text.lower())
 
-    def _part(self, text: str) -> bytes:
-        words = self.words(text)
-        if words is None:
-            return self._whole(text)
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) > CACHE:
-                self.known.clear()
-                new = set(words)
-            self._learn(sorted(new))
-        return b"".join(map(self.known.__getitem__, words))
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        return b"".join(map(self._part, slices(text)))
-
-    def warm(self, texts: list[str | None]) -> None:
-        """Learn the words of several texts in one go."""
+    def _meet(self, lists: list[list[str] | None]) -> None:
+        """Have every word of the lists known. Words not met since the last turn are forgotten when there are many."""
         new: set[str] = set()
-        for text in texts:
-            if text and len(text) <= SLICE:
-                new.update(self.words(text) or ())
-        new.difference_update(self.known)
-        if len(self.known) + len(new) > 2 * CACHE:
-            self.known.clear()
-            return
-        if new:
-            self._learn(sorted(new))
+        new.update(*(x for x in lists if x))
+        if len(self.known) > CACHE:
+            self.old, self.known = self.known, {}
+        new = new.difference(self.known)
+        unknown = new.difference(self.old)
+        for word in new - unknown:
+            self.known[word] = self.old[word]
+        if unknown:
+            self._learn(sorted(unknown))
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, str]] = []
+        chars = 0
+
+        def flush() -> None:
+            lists = [self.words(part) for _, part in group]
+            self._meet(lists)
+            get = self.known.__getitem__
+            for (i, part), words in zip(group, lists):
+                out[i].append(self._whole(part) if words is None else b"".join(map(get, words)))
+
+        for i, text in enumerate(texts):
+            for part in slices(text or ""):
+                group.append((i, part))
+                chars += len(part)
+                if chars >= SLICE:
+                    flush()
+                    group, chars = [], 0
+        flush()
+        return [b"".join(x) for x in out]
+
+
+def encoder(definition: str) -> Encoder:
+    """The process's encoder for a tokenizer definition: what it has learnt serves its later tasks too."""
+    made = per_process("encoders")
+    key = hash(definition)
+    if key not in made:
+        made[key] = Encoder(definition)
+    return made[key]
