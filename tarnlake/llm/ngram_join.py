@@ -380,3 +380,16 @@ def classes_of(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     found = rows.join(component, "c", "left")
     return found.select(F.col("__key").alias(key), F.col("size").alias("n_shingles"),
                         F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("__key")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, t: Fraction = THRESHOLD,
+                part: int = PART) -> DataFrame:
+    """The document of the smallest (key, text hash) of every component; of equal rows one; all documents without a set."""
+    row = F.struct(F.col(key), F.xxhash64(text))
+    marked = docs.withColumn("__row", row)
+    found = classes_of(marked.select("__row", F.col(text).alias("text")), "__row", "text", n, t, part)
+    stays = written(found.where("n_shingles = 0 OR __row = component_id").groupBy("__row")
+                    .agg(F.when(F.max("n_shingles") > 0, F.count(F.lit(1))).otherwise(1).alias("__copies")), "stays")
+    joined = marked.join(checked_broadcast(stays), "__row")
+    again = joined.where("__copies > 1").dropDuplicates(["__row"])
+    return joined.where("__copies = 1").select(docs.columns).union(again.select(docs.columns))

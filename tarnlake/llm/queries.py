@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, quality_rules, token_counts
+from . import chat_format, decontaminate, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, token_counts, training_order
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,9 +38,8 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
-@query
-def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(read(spark, sf_dir, "documents"), tokenizer_json())
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, tokenizer_json())
     found = F.col("__found")
     return pieces.select("doc_id", found["start"].alias("start"), found["length"].alias("length"),
                          F.crc32(found["ids"]).alias("ids_crc32"), found["doc_tokens"].alias("doc_tokens"),
@@ -48,6 +47,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          found["tier"].cast("long").alias("tier"), found["step_id"].alias("step_id"))
 
 
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}')"
 
 
@@ -129,3 +133,42 @@ FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.line = gone.line GROUP BY
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_json()).select("doc_id", F.col("__found.*"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    learns = language_id.learns("doc_id")
+    model = language_id.fit(docs.where(learns))
+    held_out = F.col("doc_id").isNotNull() & ~learns
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), F.col("__found.lang_pred").alias("lang_pred"),
+                        F.col("__found.score").alias("score"))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good: labelled of high quality and not toxic."""
+    docs = read(spark, sf_dir, "documents")
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("label")
+    model = quality_classifier.fit(docs, read(spark, sf_dir, "labels").select("doc_id", good))
+    return quality_classifier.classify(docs, model).select(
+        "doc_id", *[F.round(f"__found.{c}", 9).alias(c) for c in ("score", "text_score", "meta_score")],
+        F.col("__found.good").alias("good"))
+
+
+@query
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each slot of the written shards: where it is, a digest of its ids as read back, and its first document."""
+    shards, manifest = training_order.materialise(read(spark, sf_dir, "documents"), tokenizer_json(), key=20240117)
+    back = training_order.read_slots(spark, shards).select("slot", F.crc32("ids").alias("ids_crc32"))
+    return manifest.join(back, "slot").select("slot", "shard", "byte_offset", "ids_crc32",
+                                              F.col("first_key").alias("first_doc_id"), "n_tokens")
+
+
+@query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles are learnt from two thirds of the conversations and recovered in all."""
+    found = chat_format.parse(read(spark, sf_dir, "conversations"), learns=language_id.learns("conv"))
+    return found.select(F.col("conv").alias("conv_id"), "turn", "place", F.col("piece").cast("long").alias("piece"),
+                        F.col("role").alias("role_pred"), "begins", "rendered")
