@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import spans
-from .tables import checked_broadcast, written
+from .tables import BROADCAST_KEYS, checked_broadcast, written
 
 MIN_WORDS = 8
 _SEEDS = [np.uint64(s) for s in (0, 0xA24BAED4963EE407)]
@@ -113,32 +113,37 @@ def _within_one_edit(a: Column, b: Column) -> Column:
         .when(m == n + 1, tail(a, n, 0) == tail(b, m, 1)).otherwise(False)
 
 
-def _near(lines: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
+def _near(every: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
     """h and h2 of the distinct lines with an earlier line within one edit."""
-    halves = lines.where(F.size("halves") > 0).select("h", "h2", "first", F.explode(F.array_distinct("halves")).alias("k"))
-    met = halves.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    some = written(halves.join(met, "k").select("h", "h2", "first").dropDuplicates(["h", "h2"]), "line-candidates")
+    halves = every.where(F.size("halves") > 0).select("h", F.explode(F.array_distinct("halves")).alias("k"))
+    met = halves.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("k")
+    some = lines.join(checked_broadcast(written(halves.join(met, "k").select("h").distinct(), "half-met")), "h")
+    # numbers in corpus order stand for places from here on
+    some = written(some.repartitionByRange("first").sortWithinPartitions("first")
+                   .select("h", "h2", "first", F.monotonically_increasing_id().alias("no")), "line-candidates")
     places = some.select("first.*").groupBy("__key", "__th").agg(F.collect_list("line").alias("wanted"))
-    where = docs.select("__key", "__th", "text").join(
+    where = docs.join(
         checked_broadcast(places.withColumnsRenamed({"__key": "k", "__th": "t"}), 500_000),
         F.col("__key").eqNullSafe(F.col("k")) & (F.col("__th") == F.col("t"))).select("__key", "__th", "text", "wanted")
     kept = T.StructType([docs.schema["__key"], *T.StructType.fromDDL(
         "__th long, line int, words array<string>, v array<long>, v2 array<long>")])
     found = where.mapInArrow(_wanted_lines(kept), kept)
     # rows equal in id and text give equal lines
-    lines_of = written(found.select(F.struct(*_PLACE).alias("place"), "words", "v", "v2")
-                       .join(some.select("h", "h2", F.col("first").alias("place")), "place").dropDuplicates(["h", "h2"]), "line-variants")
-    variants = lines_of.select("place", F.posexplode(F.arrays_zip("v", "v2")).alias("i", "z")) \
-        .select("place", "i", F.col("z.v").alias("v"), F.col("z.v2").alias("v2"))
-    earliest = variants.groupBy("v", "v2", "i").agg(F.min("place").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    replaced = variants.join(earliest, ["v", "v2", "i"]).select("place", "other")
-    shorter = lines_of.select(F.col("h").alias("v"), F.col("h2").alias("v2"), F.col("place").alias("short"))
-    one_less = variants.join(shorter, ["v", "v2"])
-    longer = one_less.groupBy("short").agg(F.min("place").alias("other")).withColumnRenamed("short", "place")
-    pairs = replaced.unionByName(longer).unionByName(one_less.select("place", F.col("short").alias("other"))) \
-        .where(F.col("other") < F.col("place")).groupBy("place").agg(F.min("other").alias("other"))
-    words = lines_of.select("place", "words", "h", "h2")
-    checked = pairs.join(words, "place").join(words.select(F.col("place").alias("other"), F.col("words").alias("others")), "other")
+    found = written(found.select(F.struct(*_PLACE).alias("first"), "words", "v", "v2").join(some, "first").drop("first")
+                    .dropDuplicates(["no"]), "line-variants")
+    variants = found.select("no", F.posexplode(F.arrays_zip("v", "v2")).alias("i", "z")) \
+        .select("no", "i", F.col("z.v").alias("v"), F.col("z.v2").alias("v2"))
+    variants = variants.unionByName(found.select("no", F.lit(-1).alias("i"), F.col("h").alias("v"), F.col("h2").alias("v2")))
+    met = variants.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("v")
+    shared = written(variants.join(met, "v"), "shared-variants")
+    parts, whole = shared.where("i >= 0"), shared.where("i < 0").select("v", "v2", F.col("no").alias("whole"))
+    replaced = parts.join(parts.groupBy("v", "v2", "i").agg(F.min("no").alias("other")), ["v", "v2", "i"]).select("no", "other")
+    one_less = parts.join(whole, ["v", "v2"]).select("no", "whole")
+    longer = one_less.groupBy("whole").agg(F.min("no").alias("other")).withColumnRenamed("whole", "no")
+    pairs = replaced.unionByName(longer).unionByName(one_less.withColumnRenamed("whole", "other")) \
+        .where("other < no").groupBy("no").agg(F.min("other").alias("other"))
+    words = found.select("no", "words", "h", "h2")
+    checked = pairs.join(words, "no").join(words.select(F.col("no").alias("other"), F.col("words").alias("others")), "other")
     return checked.where(_within_one_edit(F.col("words"), F.col("others"))).select("h", "h2")
 
 
@@ -173,15 +178,27 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     every = spans.per_text(placed.select("__key", "__th", F.col(text).alias("text")), _line_rows(min_words),
                            "lines array<struct<line: int, h: long, h2: long, halves: array<long>>>", ["__key", "__th"])
     every = written(every.select("__key", "__th", F.explode("__found.lines").alias("l")).select("__key", "__th", "l.*"), "lines")
-    lines = written(every.groupBy("h", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.count(F.lit(1)).alias("n"),
-                                                 F.any_value("halves").alias("halves")), "distinct-lines")
-    near = _near(lines, placed.select("__key", "__th", F.col(text).alias("text")), min_words).withColumn("near", F.lit(True))
-    twice = lines.select("h", "h2", "first", "n").join(near, ["h", "h2"], "left").where("n > 1 OR near")
+    lines = written(every.groupBy("h", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.count(F.lit(1)).alias("n")),
+                    "distinct-lines")
+    near = _near(every, lines, placed.select("__key", "__th", F.col(text).alias("text"))).withColumn("near", F.lit(True))
+    twice = lines.join(near, ["h", "h2"], "left").where("n > 1 OR near")
     is_first = F.col("__key").eqNullSafe(F.col("first.__key")) & (F.col("__th") == F.col("first.__th")) \
         & (F.col("line") == F.col("first.line"))
     gone = every.drop("halves").join(twice, ["h", "h2"]).where(F.coalesce("near", F.lit(False)) | ~is_first) \
         .groupBy(F.col("__key").alias("__k"), F.col("__th").alias("__t")).agg(F.collect_set("line").alias("__gone"))
-    joined = placed.join(written(gone, "removed-lines"), F.col("__key").eqNullSafe(F.col("__k")) & (F.col("__th") == F.col("__t")), "left")
+    gone = written(gone, "removed-lines")
+    if gone.agg(F.coalesce(F.sum(F.size("__gone") + 4), F.lit(0))).first()[0] <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)  # known to be small; else texts and numbers of lines meet by a shuffle
+    joined = placed.join(gone, F.col("__key").eqNullSafe(F.col("__k")) & (F.col("__th") == F.col("__t")), "left")
     out = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(
         "__found struct<n_lines: long, n_removed: long, has_words: boolean, had_words: boolean>")])
     return joined.select(*docs.columns, "__gone").mapInArrow(_without_lines(out, text), out)
+
+
+def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+    """``docs`` after ``dedup_lines``: documents that lost all their words go, and lengths follow the texts."""
+    left = dedup_lines(docs, key, text).where("__found.has_words OR NOT __found.had_words")
+    if length in docs.columns:
+        changed = F.when(F.col("__found.n_removed") > 0, F.length(text)).otherwise(F.col(length))
+        left = left.withColumn(length, changed.cast(docs.schema[length].dataType))
+    return left.select(docs.columns)
