@@ -385,7 +385,7 @@ def classes_of(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, t: Fraction = THRESHOLD,
                 part: int = PART) -> DataFrame:
     """The document of the smallest (key, text hash) of every component; of equal rows one; all documents without a set."""
-    row = F.struct(F.col(key), F.xxhash64(text))
+    row = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(text))  # null keys are never the smallest
     marked = docs.withColumn("__row", row)
     found = classes_of(marked.select("__row", F.col(text).alias("text")), "__row", "text", n, t, part)
     stays = written(found.where("n_shingles = 0 OR __row = component_id").groupBy("__row")
