@@ -24,16 +24,5 @@ def all_set(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in cols))
 
 
-def null_spread(df: DataFrame, keys: Sequence[str], ways: int = 64) -> Column:
-    """0 for rows with a complete key, otherwise a number that depends on the row.
-
-    As an extra join column it keeps rows that cannot match, those with a null in the key, from
-    meeting in one task.
-    """
-    rest = others(df, keys) or list(keys)
-    return F.when(all_set(keys), F.lit(0).cast("bigint")).otherwise(
-        1 + F.pmod(F.xxhash64(*[F.col(c) for c in rest]), F.lit(ways)))
-
-
 def others(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in set(cols)]

@@ -12,15 +12,15 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import all_set, as_keys, null_spread, others, require_columns
+from .keys import all_set, as_keys, others, require_columns
 
 ACTIVE = "is_active"
 
 
 def _left_join(target: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on the keys; target rows with a null key are spread over tasks and match nothing."""
-    return target.withColumn("__nk", null_spread(target, keys)).join(
-        right.withColumn("__nk", F.lit(0).cast("bigint")), [*keys, "__nk"], "left").drop("__nk")
+    """Left join on the keys. Rows with a null in the key match nothing and go round the join, unshuffled."""
+    met = target.where(all_set(keys)).join(right, keys, "left")
+    return met.unionByName(target.where(~all_set(keys)), allowMissingColumns=True)
 
 
 def _source_key_counts(source: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,7 +60,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> D
         F.when(~matched | (F.col("__n") == 1), F.lit(True)).otherwise(clash.cast("boolean")))
     current = current.withColumns(
         {c: F.when(matched, F.col(f"__s.{c}")).otherwise(F.col(c)) for c in payload})
-    added = source.join(target.select(*keys), keys, "left_anti")
+    added = source.where(all_set(keys)).join(target.where(all_set(keys)).select(*keys), keys, "left_anti").unionByName(
+        source.where(~all_set(keys)))
     return current.select(target.columns).unionByName(added, allowMissingColumns=True)
 
 
@@ -87,10 +88,10 @@ def with_active_flag(df: DataFrame) -> DataFrame:
 
 
 def deleted_keys(target: DataFrame, source_keys: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Keys that are active in the target but gone from the source."""
+    """Keys that are active in the target but gone from the source. A key with a null is not a key."""
     keys = as_keys(keys)
-    active = with_active_flag(target).where(F.col(ACTIVE)).select(*keys)
-    return active.join(source_keys.select(*keys), keys, "left_anti")
+    active = with_active_flag(target).where(F.col(ACTIVE) & all_set(keys)).select(*keys)
+    return active.join(source_keys.where(all_set(keys)).select(*keys), keys, "left_anti")
 
 
 def soft_delete(target: DataFrame, source_keys: DataFrame, keys: str | Sequence[str],
@@ -98,14 +99,16 @@ def soft_delete(target: DataFrame, source_keys: DataFrame, keys: str | Sequence[
                 allow_empty_source: bool = False) -> DataFrame:
     """Mark active rows whose key left the source as inactive and stamp the time.
 
-    An empty source would mark every row, so it is refused unless allowed.
+    A source without one complete key would mark every row; unless that is allowed, the plan raises.
     """
     keys = as_keys(keys)
-    if not allow_empty_source and source_keys.isEmpty():
-        raise ValueError("the source key set is empty; pass allow_empty_source=True to delete every row")
     target = with_active_flag(target)
     present = source_keys.where(all_set(keys)).select(*keys).distinct().withColumn("__seen", F.lit(True))
     gone = F.col(ACTIVE) & F.col("__seen").isNull() & all_set(keys)
+    if not allow_empty_source:
+        n_keys = source_keys.where(all_set(keys)).limit(1).agg(F.count(F.lit(1))).scalar()
+        refused = F.raise_error("the source key set is empty; pass allow_empty_source=True to delete every row")
+        gone = F.when(n_keys == 0, refused.cast("boolean")).otherwise(gone)
     changed = {ACTIVE: F.when(gone, F.lit(False)).otherwise(F.col(ACTIVE))}
     if stamp in target.columns:
         if deleted_at is None:

@@ -51,6 +51,12 @@ def test_unknown_source_column_is_refused(spark, target):
         merge.upsert(target, target.withColumn("extra", F.lit(1)), "k")
 
 
+def test_tables_with_a_map_column_are_merged(spark):
+    mk = lambda *r: spark.createDataFrame(list(r), "k int, m map<string,int>")
+    out = merge.upsert(mk((1, {"a": 1}), (None, {"b": 2})), mk((1, {"c": 3}), (2, {})), "k")
+    assert {(r["k"], str(r["m"])) for r in out.collect()} == {(1, "{'c': 3}"), (2, "{}"), (None, "{'b': 2}")}
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(t=st.dictionaries(st.integers(0, 8), st.text("ab", max_size=2), max_size=6),
        s=st.dictionaries(st.integers(0, 8), st.text("cd", max_size=2), max_size=6))
@@ -72,13 +78,14 @@ def test_soft_delete_marks_only_active_known_keys(spark):
     out = {r["k"]: (r["is_active"], r["_ingested_at"].month)
            for r in merge.soft_delete(flagged(spark), src, "k", datetime(2024, 6, 1)).collect()}
     assert out == {1: (True, 1), 2: (False, 6), 3: (False, 1), None: (True, 1)}
-    assert rows(merge.deleted_keys(flagged(spark), src, "k")) == [(None,), (2,)]
+    assert rows(merge.deleted_keys(flagged(spark), src, "k")) == [(2,)]
 
 
 def test_empty_source_is_refused(spark):
     none = spark.createDataFrame([], "k int")
-    with pytest.raises(ValueError):
-        merge.soft_delete(flagged(spark), none, "k")
+    for useless in (none, spark.createDataFrame([(None,)], "k int")):
+        with pytest.raises(Exception, match="source key set is empty"):
+            merge.soft_delete(flagged(spark), useless, "k").collect()
     out = merge.soft_delete(flagged(spark), none, "k", allow_empty_source=True)
     assert out.where("is_active").count() == 1
 
