@@ -2,8 +2,8 @@
 
 AQE splits skewed partitions of a join whose two inputs come straight from a
 shuffle.  It cannot do so when one input is itself a join on the same key, or
-when the result feeds an aggregate on that key.  For those places the hot keys
-are found by counting rows per hash bucket, and salted.
+when the result feeds an aggregate on that key.  For those places the rows are
+counted per hash bucket of the key, and buckets above a task's fair share are salted.
 """
 
 from __future__ import annotations
@@ -12,33 +12,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .keys import as_keys, others
 
 _SALT = "__salt"
-BUCKETS = 4096
+#: Hash buckets for each shuffle partition, and parts that a task's fair share of rows is cut into; salts fall
+#: on tasks by hash, so several small parts even out where one large part could meet another.
+BUCKETS_PER_TASK, PARTS_PER_TASK = 64, 8
 
 
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(BUCKETS)).cast("int")
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_buckets(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> Column:
-    """Scalar subquery: hash buckets of ``keys`` that hold at least ``share`` of the rows.
+def _bucket(keys: Sequence[str], tasks: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(tasks * BUCKETS_PER_TASK)).cast("int")
 
-    Rows are counted per bucket, with partial counts in the map tasks, so the pass reads the key
-    columns only and shuffles at most ``BUCKETS`` rows per task.  At most ``1/share`` buckets qualify.
+
+def bucket_ways(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Scalar subquery: a map from hash bucket of ``keys`` to the number of salts its rows should get.
+
+    With t shuffle partitions, a bucket with a share s of the rows is cut into s * t * PARTS_PER_TASK parts; buckets
+    of one part or less are left out, so the map has at most t * PARTS_PER_TASK entries.  Rows are counted per bucket, with partial
+    counts in the map tasks: the pass reads the key columns only.
     """
-    counts = df.groupBy(_bucket(keys).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    tasks = _tasks(df)
+    counts = df.groupBy(_bucket(keys, tasks).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     every = counts.agg(F.sum("n").alias("total"), F.collect_list(F.struct("b", "n")).alias("l"))
-    hot = F.filter("l", lambda e: e["n"] >= F.col("total") * share)
-    return every.select(F.transform(hot, lambda e: e["b"]).alias("hot")).scalar()
+    ways = F.transform("l", lambda e: F.struct(e["b"], F.ceil(e["n"] * (tasks * PARTS_PER_TASK) / F.col("total")).alias("ways")))
+    return every.select(F.map_from_entries(F.filter(ways, lambda e: e["ways"] > 1)).alias("hot")).scalar()
 
 
-def _will_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= int(limit)
+def _hashable(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    def has_map(kind: T.DataType) -> bool:
+        return "map<" in kind.simpleString() or "variant" in kind.simpleString()
+    return [c for c in cols if not has_map(df.schema[c].dataType)]
 
 
 def skew_join(
@@ -47,33 +56,21 @@ def skew_join(
     on: str | Sequence[str],
     how: str = "inner",
     *,
-    salts: int = 32,
-    share: float = 0.01,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``big`` to ``small`` on equal keys, spreading hot buckets of ``big`` over ``salts`` tasks.
+    """Join ``big`` to ``small`` on equal keys, spreading hot buckets of ``big`` over as many tasks as they fill.
 
     Rows of ``small`` are repeated per salt for hot buckets only.  The salt is a hash of the row,
     not a random number, so a task that is run again sends every row to the same place.
-    A ``small`` side whose estimated size is below the session's broadcast threshold needs no salt:
-    Spark broadcasts it.  ``counted`` is where the keys are counted, by default ``big``; give the table that ``big`` is
-    derived from where that saves running its joins for the count.
+    The plan is the same at every size.  ``counted`` is where the keys are counted, by default ``big``; give the
+    table that ``big`` is derived from where that saves running its joins for the count.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support how={how!r}")
     keys = as_keys(on)
-    if _will_broadcast(small):
-        return big.join(small, keys, how)
-    hot = hot_buckets(big if counted is None else counted, keys, share)
-
-    def is_hot() -> Column:
-        return F.array_contains(F.coalesce(hot, F.array().cast("array<int>")), _bucket(keys))
-
-    spread = others(big, keys) or keys
-    left = big.withColumn(
-        _SALT, F.when(is_hot(), F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)))
-        .otherwise(F.lit(0).cast("bigint")))
-    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    right = small.withColumn(
-        _SALT, F.explode(F.when(is_hot(), all_salts).otherwise(F.array(F.lit(0).cast("bigint")))))
+    hot = bucket_ways(big if counted is None else counted, keys)
+    ways = F.coalesce(hot[_bucket(keys, _tasks(big))], F.lit(1).cast("bigint"))
+    spread = _hashable(big, others(big, keys)) or keys
+    left = big.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in spread]), ways))
+    right = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), ways - 1)))
     return left.join(right, [*keys, _SALT], how).drop(_SALT)
