@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import terms, words
+from ..functions.text import collapse_space, drop_emoji, strip_markup, terms, words
 from .skew import skew_join
 
 # Noun suffixes and their replacements, tried in this order.
@@ -40,9 +40,8 @@ def tfidf(docs: DataFrame, doc_id: str, text: str, max_features: int = 15_000) -
     vocabulary = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).orderBy(
         F.desc("total"), F.asc("term")).limit(max_features)
     idf = F.log((1 + n_docs) / (1 + F.col("df"))) + 1
-    # At most max_features rows.
     weights = vocabulary.select("term", idf.alias("idf"))
-    raw = tf.join(F.broadcast(weights), "term").select(
+    raw = tf.join(weights, "term").select(
         doc_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
     # The rows of a document are its distinct terms, at most max_features.
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
@@ -58,27 +57,30 @@ def _detached(word: Column) -> Column:
     return F.filter(F.array(*forms), lambda f: f.isNotNull())
 
 
-def lemma_table(vocabulary: DataFrame, dictionary: DataFrame, exceptions: DataFrame | None = None,
-                depth: int = 3) -> DataFrame:
+def lemma_table(vocabulary: DataFrame, dictionary: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """Rows (word, lemma) for the words whose lemma differs from the word.
 
     Candidates are the word and its suffix-detached forms; of those in ``dictionary`` the
-    shortest wins.  Forms are detached again, up to ``depth`` times, while none is found.
+    shortest wins.  Forms are detached again while none is found, until no suffix fits.
     ``exceptions`` has rows (word, lemma) for irregular words and comes before the rules.
     Unknown words are left out, so they stay as they are.
     """
     w = F.col("word")
-    levels = [_detached(w)]
-    for _ in range(depth - 1):
-        levels.append(F.flatten(F.transform(levels[-1], _detached)))
 
-    def tag(forms: Column, level: int) -> Column:
+    def tag(forms: Column, level: Column) -> Column:
         return F.transform(forms, lambda f, i: F.struct(
-            F.lit(level).alias("level"), F.length(f).alias("len"), (i + 1).alias("ord"), f.alias("form")))
+            level.alias("level"), F.length(f).alias("len"), (i + 1).alias("ord"), f.alias("form")))
 
+    # every rule but one shortens the form, so there are fewer levels than letters
     own = F.array(F.struct(F.lit(0).alias("level"), F.length(w).alias("len"), F.lit(0).alias("ord"), w.alias("form")))
-    tagged = F.concat(own, *[tag(f, i) for i, f in enumerate(levels)])
-    distinct = vocabulary.select("word").distinct()
+    start = F.struct(F.array(w).alias("forms"), own.alias("all"))
+
+    def deeper(acc: Column, level: Column) -> Column:
+        forms = F.flatten(F.transform(acc["forms"], _detached))
+        return F.struct(forms.alias("forms"), F.concat(acc["all"], tag(forms, level)).alias("all"))
+
+    tagged = F.aggregate(F.sequence(F.lit(1), F.length(w) + 1), start, deeper, lambda acc: acc["all"])
+    distinct = vocabulary.select("word").where(w.isNotNull()).distinct()
     candidates = distinct.select("word", F.explode_outer(tagged).alias("c")).select("word", "c.*")
     known = dictionary.select(F.col("word").alias("form")).distinct()
     found = candidates.join(known, "form").groupBy("word").agg(
@@ -99,7 +101,19 @@ def lemmatize(docs: DataFrame, doc_id: str, text: str, lemmas: DataFrame) -> Dat
     seen = tokens.select(doc_id, F.explode_outer(F.array_distinct("__words")).alias("word")).where(
         F.col("word").isNotNull())
     changed = skew_join(seen, lemmas, "word").groupBy(doc_id).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("__map"))
+        F.map_from_entries(F.collect_set(F.struct("word", "lemma"))).alias("__map"))
     replaced = F.transform("__words", lambda t: F.coalesce(F.col("__map")[t], t))
     out = F.when(F.col("__map").isNull(), F.col("__words")).otherwise(replaced)
     return tokens.join(changed, doc_id, "left").select(doc_id, F.array_join(out, " ").alias(text))
+
+
+def clean_lemmatized(docs: DataFrame, doc_id: str, text: str, dictionary: DataFrame,
+                     exceptions: DataFrame | None = None, strict_emoji: bool = False) -> DataFrame:
+    """Full cleaning in order: markup and punctuation, lemmas, then emoji; rows (doc_id, text).
+
+    A word with an emoji is unknown to the dictionary, keeps its form and loses the emoji afterwards.
+    """
+    bare = docs.select(doc_id, collapse_space(strip_markup(F.col(text))).alias(text))
+    vocabulary = bare.select(F.explode_outer(words(F.col(text))).alias("word"))
+    done = lemmatize(bare, doc_id, text, lemma_table(vocabulary, dictionary, exceptions))
+    return done.withColumn(text, drop_emoji(F.col(text), strict_emoji))

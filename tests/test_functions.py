@@ -100,6 +100,13 @@ def test_lemmas(spark):
         (1, "two cat and a cat"), (2, ""), (3, "goose unknowns goose")]
 
 
+def test_lemmas_are_stripped_until_no_suffix_fits(spark):
+    mk = lambda *ws: spark.createDataFrame([(w,) for w in ws], "word string")
+    assert rows(textstats.lemma_table(mk("aseseseses", "xsssss", "s"), mk("as", "x"))) == [("aseseseses", "as"), ("xsssss", "x")]
+    docs = spark.createDataFrame([(1, "cats"), (1, "cats"), (1, "cat")], "id int, t string")
+    assert rows(textstats.lemmatize(docs, "id", "t", textstats.lemma_table(mk("cats"), mk("cat")))) == [(1, "cat")] * 3
+
+
 def test_tfidf_matches_the_formula(spark):
     import math
     texts = {1: "aa bb aa", 2: "bb cc", 3: "bb", 4: ""}

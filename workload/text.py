@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from tarnlake.functions.text import clean_text, sentiment_label, words
 from tarnlake.operators import textstats as ops
 
-from tarnlake.sources.files import spread
-
 from .proxies import ctes, proxy
 from .registry import query, table
 
@@ -16,15 +14,19 @@ SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{
 NOT_SPACE = SPACE.replace("[", "[^", 1)
 EMOJI = (r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2702}-\x{27B0}"
          r"\x{24C2}-\x{1F251}]+")
+# Fixed values, as in the library.
 PUNCT = "@#!?+&*[]-%.:/();$=><|{}^''`_"
 
 
-def sql_clean(expr: str) -> str:
+def sql_lower_markup(expr: str) -> str:
     no_url = f"regexp_replace(lower({expr}), 'http{NOT_SPACE}+', '', 'g')"
     no_tag = f"regexp_replace({no_url}, '<.*?>', '', 'g')"
     bare = f"translate({no_tag}, '{PUNCT}', '')"
-    flat = f"trim(regexp_replace({bare}, '{SPACE}+', ' ', 'g'))"
-    return f"regexp_replace({flat}, '{EMOJI}', '', 'g')"
+    return f"trim(regexp_replace({bare}, '{SPACE}+', ' ', 'g'))"
+
+
+def sql_clean(expr: str) -> str:
+    return f"regexp_replace({sql_lower_markup(expr)}, '{EMOJI}', '', 'g')"
 
 
 @query("text_clean", f"""
@@ -32,9 +34,9 @@ select 'page' kind, page_id id, {sql_clean("url || ' ' || html")} as "text" from
 union all select 'document', doc_id, {sql_clean('"text"')} from documents
 union all select 'turn', conv_id * 1000 + turn, {sql_clean('"text"')} from conversations""")
 def text_clean(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages").select(
-        F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.concat_ws(" ", "url", "html").alias("text")))
-    docs = spread(table(spark, sf_dir, "documents").select(F.lit("document"), "doc_id", "text"))
+    pages = table(spark, sf_dir, "pages").select(
+        F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.concat_ws(" ", "url", "html").alias("text"))
+    docs = table(spark, sf_dir, "documents").select(F.lit("document"), "doc_id", "text")
     turns = table(spark, sf_dir, "conversations").select(
         F.lit("turn"), F.col("conv_id") * 1000 + F.col("turn"), "text")
     return pages.union(docs).union(turns).withColumn("text", clean_text(F.col("text")))
@@ -62,7 +64,7 @@ select raw.doc_id, raw.term, raw.tf, round(w / norm, 8) tfidf from raw join norm
 
 @query("text_tfidf", sql_tfidf(15000))
 def text_tfidf(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", clean_text(F.col("text")).alias("body"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("body"))
     return ops.tfidf(docs, "doc_id", "body", 15000).withColumn("tfidf", F.round("tfidf", 8))
 
 
@@ -70,30 +72,26 @@ RULES = (("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ch
          ("men", "man"), ("ies", "y"))
 
 
-def _forms(src: str, base: int) -> str:
-    return " union all ".join(
-        f"select word, {base} lvl, {i} ord, left(form, length(form) - {len(a)}) || '{b}' form from {src} "
-        f"where suffix(form, '{a}')" for i, (a, b) in enumerate(RULES, 1))
+_RULES_SQL = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(RULES, 1))
 
 
 @query("text_lemmatize", f"""
 with recursive toks as (select doc_id, string_split(body, ' ') ws from (
-    select doc_id, {sql_clean('"text"')} body from documents)),
+    select doc_id, {sql_lower_markup('"text"')} body from documents)),
 words as (select distinct unnest(ws) word from toks),
 dictionary as (select distinct unnest(string_split({sql_clean('"text"')}, ' ')) form from benchmark),
-l0 as (select word, word form from words),
-f1 as ({_forms("l0", 0)}), f2 as ({_forms("f1", 1)}), f3 as ({_forms("f2", 2)}),
-candidates as (select word, 0 lvl, 0 ord, form from l0 union all select * from f1 union all select * from f2
-  union all select * from f3),
-best as (select word, form from (select c.*, row_number() over (partition by word order by lvl, length(c.form), ord) rn
+rules(i, old, new) as (values {_RULES_SQL}),
+candidates(word, lvl, path, form) as (select word, 0, []::int[], word from words
+  union all select word, lvl + 1, list_append(path, i), left(form, length(form) - length(old)) || new
+  from candidates join rules on suffix(form, old)),
+best as (select word, form from (select c.*, row_number() over (partition by word order by lvl, length(c.form), path) rn
   from candidates c join dictionary d on c.form = d.form) where rn = 1),
-spread as (select doc_id, unnest(ws) word, generate_subscripts(ws, 1) pos from toks)
-select doc_id, string_agg(coalesce(best.form, spread.word), ' ' order by pos) as "text"
-from spread left join best on spread.word = best.word group by doc_id""")
+placed as (select doc_id, unnest(ws) word, generate_subscripts(ws, 1) pos from toks)
+select doc_id, regexp_replace(string_agg(coalesce(best.form, placed.word), ' ' order by pos), '{EMOJI}', '', 'g') as "text"
+from placed left join best on placed.word = best.word group by doc_id""")
 def text_lemmatize(spark, sf_dir):
-    """The words of the benchmark texts serve as the dictionary."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", clean_text(F.col("text")).alias("text"))
+    """Cleaned in the full order: markup, lemmas, emoji. The words of the benchmark texts serve as the dictionary."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     bench = table(spark, sf_dir, "benchmark").select(clean_text(F.col("text")).alias("text"))
-    vocabulary = docs.select(F.explode_outer(words(F.col("text"))).alias("word"))
     dictionary = bench.select(F.explode_outer(words(F.col("text"))).alias("word"))
-    return ops.lemmatize(docs, "doc_id", "text", ops.lemma_table(vocabulary, dictionary))
+    return ops.clean_lemmatized(docs, "doc_id", "text", dictionary)
