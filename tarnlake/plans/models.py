@@ -9,7 +9,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer)
+from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer,
+                                StringIndexer)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
@@ -28,10 +29,7 @@ MAX_ITER = 1000
 TOLERANCE = 1e-4
 FOLDS = 5
 
-# An optimiser makes one pass per iteration; a task below this many rows is mostly overhead.
-ROWS_PER_TASK = 5_000
-
-TEXT, LABEL, FEATURES = "text", "label", "features"
+TEXT, LABEL, FEATURES, CLASS = "text", "label", "features", "predicted_class"
 
 
 def prepare(docs: DataFrame, text: str = TEXT) -> DataFrame:
@@ -61,7 +59,7 @@ def logistic(c: float, penalty: str, rows: int, label: str = "label_index", max_
     """Logistic regression whose penalty equals an inverse strength ``c`` over summed losses."""
     return LogisticRegression(
         featuresCol=FEATURES, labelCol=label, maxIter=max_iter, tol=TOLERANCE,
-        standardization=False,
+        standardization=False, family="binomial",
         regParam=1.0 / (c * rows), elasticNetParam=1.0 if penalty == "l1" else 0.0)
 
 
@@ -78,33 +76,28 @@ class Sentiment:
 def _featured(train: DataFrame, label: str, text: str, vocabulary: int):
     features = fit_features(train, text, vocabulary)
     index = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(train)
-    return features, index.transform(features.transform(train))
+                          handleInvalid="error").fit(train)
+    if len(index.labels) > 2:
+        raise ValueError(f"two classes are expected, not {index.labels}")
+    return features, index, index.transform(features.transform(train))
 
 
-def _packed(rows: DataFrame) -> tuple[DataFrame, int]:
-    """``rows`` cached in no more tasks than their number needs, and their number."""
-    first = rows.persist()
-    n = first.count()
-    tasks = max(1, -(-n // ROWS_PER_TASK))
-    if tasks >= first.rdd.getNumPartitions():
-        return first, n
-    packed = first.coalesce(tasks).persist()
-    packed.count()
-    first.unpersist()
-    return packed, n
+def _named(features: PipelineModel, index, model) -> PipelineModel:
+    """Features, classifier and the names of its classes as one pipeline."""
+    names = IndexToString(inputCol="prediction", outputCol=CLASS, labels=list(index.labels))
+    return PipelineModel(stages=[features, model, names])
 
 
 def fit_sentiment(train: DataFrame, label: str = LABEL, text: str = TEXT, c: float = FIXED_C,
                   penalty: str = FIXED_PENALTY, vocabulary: int = VOCABULARY) -> Sentiment:
     """Fit with given parameters. ``train`` holds cleaned text and a label."""
-    features, rows = _featured(train, label, text, vocabulary)
-    rows, n = _packed(rows.select(FEATURES, "label_index"))
+    features, index, rows = _featured(train, label, text, vocabulary)
+    rows = rows.select(FEATURES, "label_index").persist()
     try:
-        model = logistic(c, penalty, n).fit(rows)
+        model = logistic(c, penalty, rows.count()).fit(rows)
     finally:
         rows.unpersist()
-    return Sentiment(PipelineModel(stages=[features, model]), c, penalty)
+    return Sentiment(_named(features, index, model), c, penalty)
 
 
 def fit_sentiment_cv(train: DataFrame, row_id: str, label: str = LABEL, text: str = TEXT,
@@ -113,12 +106,13 @@ def fit_sentiment_cv(train: DataFrame, row_id: str, label: str = LABEL, text: st
     """Grid search on accuracy with folds assigned by a hash of the id, then one fit on all training rows.
 
     Spark scales features inside the optimiser, so a weak l2 penalty on unscaled TF-IDF needs many
-    iterations; ``max_iter`` bounds the passes over the data per fit.
+    iterations; a fit ends at the tolerance, or at ``max_iter`` passes.
     """
-    features, rows = _featured(train, label, text, vocabulary)
+    features, index, rows = _featured(train, label, text, vocabulary)
     fold = F.pmod(F.xxhash64(row_id), F.lit(folds)).cast("int")
-    rows, n = _packed(rows.select(FEATURES, "label_index", fold.alias("fold")))
+    rows = rows.select(FEATURES, "label_index", fold.alias("fold")).persist()
     try:
+        n = rows.count()
         base = logistic(1.0, "l2", n, max_iter=max_iter)
         per_fold = n * (folds - 1) / folds
         choices = [(c, p) for c in cs for p in penalties]
@@ -133,15 +127,15 @@ def fit_sentiment_cv(train: DataFrame, row_id: str, label: str = LABEL, text: st
         model = logistic(*choices[best], n, max_iter=max_iter).fit(rows)
     finally:
         rows.unpersist()
-    return Sentiment(PipelineModel(stages=[features, model]), *choices[best],
+    return Sentiment(_named(features, index, model), *choices[best],
                      tuple((c, p, s) for (c, p), s in zip(choices, scores)))
 
 
 def score(model: PipelineModel, docs: DataFrame, text: str = TEXT) -> DataFrame:
-    """``docs`` with ``prediction`` and the probability of the predicted class."""
+    """``docs`` with ``prediction``, the class name, and the probability of that class."""
     out = model.transform(docs)
     top = F.array_max(vector_to_array(F.col("probability")))
-    return out.select(*docs.columns, F.col("prediction").cast("int").alias("prediction"), top.alias("probability"))
+    return out.select(*docs.columns, F.col(CLASS).alias("prediction"), top.alias("probability"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -154,9 +148,14 @@ def load_model(path: str) -> PipelineModel:
 
 def kmeans(df: DataFrame, vector: str, k: int = 3, seed: int = 1) -> DataFrame:
     """``df`` with a ``cluster`` column."""
+    return kmeans_with_centres(df, vector, k, seed)[0]
+
+
+def kmeans_with_centres(df: DataFrame, vector: str, k: int = 3, seed: int = 1) -> tuple[DataFrame, list[list[float]]]:
+    """``kmeans`` and the k centres."""
     rows = df.withColumn(FEATURES, array_to_vector(F.col(vector).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(rows)
-    return model.transform(rows).drop(FEATURES)
+    return model.transform(rows).drop(FEATURES), [c.tolist() for c in model.clusterCenters()]
 
 
 def forest(train: DataFrame, vector: str, label: str, trees: int = 100, depth: int = 6,

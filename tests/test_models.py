@@ -31,8 +31,8 @@ def test_sentiment_fit_score_and_roundtrip(spark, reviews, tmp_path):
     train, test = reviews.where("id < 180"), reviews.where("id >= 180")
     fitted = models.fit_sentiment(train, c=10.0)
     out = models.score(fitted.model, test)
-    right = F.expr("prediction = case when label = 'positive' then 1 else 0 end")
-    assert out.where(right).count() == 60
+    assert out.where("prediction = label").count() == 60
+    assert fitted.model.stages[1].numClasses == 2 and fitted.model.stages[1].coefficientMatrix.numRows == 1
     assert out.where("probability < 0.5 or probability > 1").count() == 0
     path = str(tmp_path / "m")
     models.save_model(fitted.model, path)

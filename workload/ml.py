@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarnlake.operators import evaluation as ev
@@ -9,8 +10,6 @@ from tarnlake.operators.split import stratified_split
 from tarnlake.plans import models
 from tarnlake.sources.scratch import new_path
 
-from tarnlake.sources.files import spread
-
 from .registry import query, table
 
 QUALITY = "case when quality = 1 then 'positive' else 'negative' end"
@@ -84,7 +83,7 @@ def ml_mse(spark, sf_dir):
 
 
 def _texts(spark, sf_dir):
-    return models.prepare(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return models.prepare(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _train_test(spark, sf_dir):
@@ -93,52 +92,84 @@ def _train_test(spark, sf_dir):
     return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
-def _named(df):
-    return df.withColumn("prediction", F.when(F.col("prediction") == 1, "positive").otherwise("negative"))
+#: The training quota of each label, and the test rows, as CTEs.
+SPLIT = f"""
+l as (select doc_id, {QUALITY} label from labels),
+per as (select label, count(*) n from l group by label),
+q as (select label, n, floor(n * wanted / total) base, n * wanted / total - floor(n * wanted / total) rest, wanted
+  from (select per.*, (select sum(n) from per)::double total, floor((select sum(n) from per)::double * 0.8::double) wanted from per)),
+quota as (select label, base + case when row_number() over (order by rest desc, label) <=
+    wanted - sum(base) over () then 1 else 0 end quota from q),
+test as (select doc_id, label from (select doc_id, l.label, quota, row_number() over (
+    partition by l.label order by md5(doc_id::varchar), doc_id) rn from l join quota on l.label = quota.label)
+  where rn > quota and doc_id in (select doc_id from documents))"""
+SUPPORT = f"with {SPLIT} select label, count(*) support, true beats_majority from test group by label"
+
 
+def _judged(scored):
+    """Test rows of each label, and whether accuracy reaches the share of the largest label."""
+    per = scored.groupBy("label").agg(F.count(F.lit(1)).alias("support"),
+                                      F.sum((F.col("prediction") == F.col("label")).cast("int")).alias("hit"))
+    every = Window.partitionBy()  # one row for each label
+    return per.select("label", "support", (F.sum("hit").over(every) >= F.max("support").over(every)).alias("beats_majority"))
 
-@query("ml_sentiment_fit")
+
+@query("ml_sentiment_fit", SUPPORT)
 def ml_sentiment_fit(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    fitted = models.fit_sentiment(train)
-    return _named(models.score(fitted.model, test)).drop("text")
+    return _judged(models.score(models.fit_sentiment(train).model, test))
 
 
-@query("ml_sentiment_cv")
+@query("ml_sentiment_cv", SUPPORT)
 def ml_sentiment_cv(spark, sf_dir):
+    """The whole grid on all training rows."""
     train, test = _train_test(spark, sf_dir)
-    # The whole grid on all training rows; 100 passes per fit are the bound.
-    fitted = models.fit_sentiment_cv(train, "doc_id", parallelism=8, max_iter=100)
-    return ev.class_report(_named(models.score(fitted.model, test)), "label", "prediction")
+    return _judged(models.score(models.fit_sentiment_cv(train, "doc_id", parallelism=8).model, test))
 
 
-@query("ml_batch_score")
+@query("ml_batch_score", "select doc_id, true probable, true known_class from documents")
 def ml_batch_score(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    fitted = models.fit_sentiment(train)
-    return _named(models.score(fitted.model, _texts(spark, sf_dir))).drop("text")
+    scored = models.score(models.fit_sentiment(train).model, _texts(spark, sf_dir))
+    return scored.select("doc_id", F.col("probability").between(0.5, 1).alias("probable"),
+                         F.col("prediction").isin("negative", "positive").alias("known_class"))
 
 
-@query("ml_model_roundtrip")
+@query("ml_model_roundtrip", f"with {SPLIT} select doc_id, true same from test")
 def ml_model_roundtrip(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     fitted = models.fit_sentiment(train)
     path = new_path(spark, "sentiment-model")
     models.save_model(fitted.model, path)
-    before = models.score(fitted.model, test).select("doc_id", F.col("prediction").alias("before"))
-    after = models.score(models.load_model(path), test).select("doc_id", F.col("prediction").alias("after"))
-    return before.join(after, "doc_id").withColumn("same", F.col("before") == F.col("after"))
+    before = models.score(fitted.model, test).select("doc_id", "prediction", "probability")
+    after = models.score(models.load_model(path), test).select(
+        "doc_id", F.col("prediction").alias("after"), F.col("probability").alias("p"))
+    return before.join(after, "doc_id").select(
+        "doc_id", ((F.col("prediction") == F.col("after")) & (F.col("probability") == F.col("p"))).alias("same"))
 
 
-@query("ml_kmeans")
+@query("ml_kmeans", "select vec_id, true own_is_nearest from embeddings")
 def ml_kmeans(spark, sf_dir):
-    return models.kmeans(table(spark, sf_dir, "embeddings"), "embedding", 3).drop("embedding")
+    rows, centres = models.kmeans_with_centres(table(spark, sf_dir, "embeddings"), "embedding", 3)
+    vector = F.transform("embedding", lambda x: x.cast("double"))
+
+    def distance(centre):
+        return F.aggregate(F.zip_with(vector, F.lit(centre), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
+
+    distances = F.array(*[distance(c) for c in centres])
+    own = F.get(distances, F.col("cluster"))
+    return rows.select("vec_id", (own <= F.array_min(distances) * (1 + 1e-9)).alias("own_is_nearest"))
 
 
-@query("ml_rf_regression")
+@query("ml_rf_regression", """
+select count(*) - floor(count(*)::double * 0.75::double)::bigint support, true within_labels from embeddings""")
 def ml_rf_regression(spark, sf_dir):
+    """Trees average labels, so every guess lies between the smallest and the largest."""
     rows = table(spark, sf_dir, "embeddings").withColumn("one", F.lit("all"))
     split = stratified_split(rows, "one", "vec_id", 0.75)
-    model = models.forest(split.where("split = 'train'"), "embedding", "label")
-    return ev.mean_squared_error(models.predict_forest(model, split.where("split = 'test'"), "embedding"),
-                                 "label", "prediction")
+    train = split.where("split = 'train'")
+    model = models.forest(train, "embedding", "label")
+    guessed = models.predict_forest(model, split.where("split = 'test'"), "embedding")
+    low, high = (train.agg(f("label")).scalar() for f in (F.min, F.max))
+    return guessed.agg(F.count(F.lit(1)).alias("support"),
+                       F.every(F.col("prediction").between(low - 1e-9, high + 1e-9)).alias("within_labels"))
