@@ -36,12 +36,3 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_l
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     """Image files as rows with the ``image`` struct."""
     return spark.read.format("image").load(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores where the input has fewer tasks than cores.
-
-    For costly expressions on one or two files; a large input has tasks enough and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

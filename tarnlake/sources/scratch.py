@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,13 +12,20 @@ from pyspark.sql import SparkSession
 _LOCAL: dict[str, str] = {}
 
 
+def refuse_unless_local(master: str) -> None:
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only where that is unset, as in local tests, a temporary folder is made, one per application.
+    Where that is unset, a local session gets a temporary folder, one per application. Any other
+    is refused: its executors would each write to a disk of their own, and reads would miss rows.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        refuse_unless_local(spark.sparkContext.master)
         app = spark.sparkContext.applicationId
         if app not in _LOCAL:
             _LOCAL[app] = tempfile.mkdtemp(prefix="tarnlake-")

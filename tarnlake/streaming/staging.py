@@ -13,11 +13,11 @@ from pyspark.sql import Column
 from ..operators.incremental import add_audit_columns
 
 
-def read_new_files(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path)
+def read_new_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The files of a table, be its path one file or a folder of part files."""
+    path = path.rstrip("/")
+    # as a pattern that only this path fits: Spark streams from a folder or from what a pattern finds, not from one file
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def load_new(batch: DataFrame, target: str, checkpoint: str, run_id: str, ingested_at: Column | None = None

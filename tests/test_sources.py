@@ -111,3 +111,18 @@ def test_stream_takes_every_file_once(spark, tmp_path):
     spark.createDataFrame([(3,)], "k int").write.mode("append").parquet(src)
     load_new(read_new_files(spark, src, a.schema), out, ck, "r2")
     assert rows(spark.read.parquet(out), "k", "_job_run_id") == [(1, "r1"), (2, "r1"), (3, "r2")]
+
+
+def test_a_local_folder_is_refused_on_a_cluster():
+    for master in ("local", "local[8]", "local[*]"):
+        scratch.refuse_unless_local(master)
+    for master in ("local-cluster[3,2,1024]", "yarn", "spark://host:7077", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.refuse_unless_local(master)
+
+
+def test_stream_over_a_table_of_several_files(spark, sf, tmp_path):
+    from workload.cdc import cdc_stream_staging
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert cdc_stream_staging(spark, str(tmp_path)).count() == events.count()

@@ -292,6 +292,6 @@ def cdc_stream_staging(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     target, checkpoint = new_path(spark, "stream-staging"), new_path(spark, "stream-checkpoint")
     for _ in range(2):
-        new = read_new_files(spark, sf_dir, schema, glob="events.parquet")
+        new = read_new_files(spark, f"{sf_dir}/events.parquet", schema)
         load_new(new, target, checkpoint, "run1", _at(NOW))
     return spark.read.parquet(target)

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlake.sources.files import spread
-
 from .registry import table
 
 # name: (table, {column: expression}, condition)
@@ -119,8 +117,6 @@ def ctes(*names: str) -> str:
 def _frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     src, cols, where = PROXIES[name]
     df = table(spark, sf_dir, src)
-    if src == "lineitem":
-        df = spread(df)
     if where:
         df = df.where(where)
     return df.selectExpr(*[f"{e} as {c}" for c, e in cols.items()])
