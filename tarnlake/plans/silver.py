@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import md5_key
 from ..operators.cleaning import cast_ints, distinct_present, drop_incomplete, round_money, within_box
-from ..operators.incremental import dedup_latest, merge_metrics, new_watermark
+from ..operators.incremental import dedup_latest, merge_metrics, new_watermark, newer_than
 from ..operators.keys import as_keys
 from ..operators.merge import ACTIVE, soft_delete, upsert
 
@@ -101,7 +101,7 @@ def silver_step(staging: DataFrame, target: DataFrame | None, keys: str | Sequen
     keys = as_keys(keys)
     newest = dedup_latest(staging, keys, watermark_col, watermark, ties)
     batch = transform(newest).withColumn(ACTIVE, F.lit(True))
-    mark = new_watermark(staging, watermark_col, watermark)
+    mark = new_watermark(newer_than(staging, watermark_col, watermark), watermark_col, watermark)
     if target is None:
         return SilverStep(batch, batch, merge_metrics(batch, None, keys), mark)
     metrics = merge_metrics(batch, target, keys)
