@@ -92,15 +92,18 @@ class SilverStep:
 def silver_step(staging: DataFrame, target: DataFrame | None, keys: str | Sequence[str], transform: Transform,
                 *, watermark: Any = None, watermark_col: str = "_ingested_at",
                 source_keys: DataFrame | None = None, deleted_at: Column | None = None,
-                allow_empty_source: bool = False, ties: Sequence[str] | None = None) -> SilverStep:
+                allow_empty_source: bool = False, ties: Sequence[str] | None = None, persist: bool = False) -> SilverStep:
     """Newest staged row per key, cleaned and merged into the current table.
 
     Deletes are synchronised against the table as it was; a row of the batch is active again
-    even if its key has just left the source, until the next run.
+    even if its key has just left the source, until the next run.  With ``persist`` the batch is kept for the table
+    and the metrics; the caller unpersists it.
     """
     keys = as_keys(keys)
     newest = dedup_latest(staging, keys, watermark_col, watermark, ties)
     batch = transform(newest).withColumn(ACTIVE, F.lit(True))
+    if persist:
+        batch = batch.persist()
     mark = new_watermark(newer_than(staging, watermark_col, watermark), watermark_col, watermark)
     if target is None:
         return SilverStep(batch, batch, merge_metrics(batch, None, keys), mark)

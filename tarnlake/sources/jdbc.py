@@ -37,12 +37,16 @@ def extract(spark: SparkSession, url: str, spec: TableSpec, **kw) -> DataFrame:
     return scan(spark, url, spec.source_table, **kw)
 
 
-def keys_query(table: str, key_sql: str, target: str) -> str:
-    """Subquery that projects one, possibly computed, key under the target's key name."""
-    return f"(SELECT {key_sql} AS {target} FROM {table}) t"
+def keys_query(table: str, key_sql: str | Sequence[str], target: str | Sequence[str]) -> str:
+    """Subquery that projects the key's columns, each possibly computed, under the target's names."""
+    exprs, names = ([x] if isinstance(x, str) else list(x) for x in (key_sql, target))
+    if len(exprs) != len(names):
+        raise ValueError(f"{len(exprs)} key columns for {len(names)} names")
+    return f"(SELECT {', '.join(f'{e} AS {n}' for e, n in zip(exprs, names))} FROM {table}) t"
 
 
-def source_keys(spark: SparkSession, url: str, table: str, key_sql: str, target: str, **kw) -> DataFrame:
+def source_keys(spark: SparkSession, url: str, table: str, key_sql: str | Sequence[str],
+                target: str | Sequence[str], **kw) -> DataFrame:
     """Key projection for delete sync; the key expression is evaluated in the database."""
     return scan(spark, url, keys_query(table, key_sql, target), **kw)
 

@@ -16,8 +16,9 @@ class TableSpec:
     key_sql: str | None = None
 
     @property
-    def source_key(self) -> str:
-        return self.key_sql or ", ".join(self.keys)
+    def source_key(self) -> list[str]:
+        """The SQL of each key column at the source."""
+        return [self.key_sql] if self.key_sql else list(self.keys)
 
 
 # Names, types and keys of the source tables.

@@ -61,6 +61,12 @@ def swap_snapshot(df: DataFrame, name: str, path: str) -> None:
     spark.catalog.refreshTable(name)
 
 
+def replace_table(df: DataFrame, name: str, path: str) -> None:
+    """The table's new state: created on the first call, a new snapshot afterwards."""
+    if not create_if_absent(df, name, path):
+        swap_snapshot(df, name, path)
+
+
 def write_table(df: DataFrame, target: TableTarget, version: str) -> str:
     """Load by table kind: create when absent, staging appends, clean merges on the key.
 
@@ -86,6 +92,13 @@ def write_table(df: DataFrame, target: TableTarget, version: str) -> str:
     return "merge"
 
 
+def catalog_listing(spark: SparkSession, schemas: Sequence[str] | None = None, like: str = "*") -> DataFrame:
+    """Schemas with their tables and views whose name fits the pattern. Reads the catalog only."""
+    names = [d.name for d in spark.catalog.listDatabases()] if schemas is None else list(schemas)
+    found = [(d, t.name, t.tableType) for d in names for t in spark.catalog.listTables(d, like) if not t.isTemporary]
+    return spark.createDataFrame(found, "schema_name string, table_name string, table_type string")
+
+
 def row_counts(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
     """Existing tables or views with their column and row counts."""
     parts = [spark.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(

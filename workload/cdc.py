@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.operators import incremental as inc
 from tarnlake.operators import merge
-from tarnlake.plans.silver import silver_step
+from tarnlake.plans import incremental_run
+from tarnlake.plans.incremental_run import Lake
+from tarnlake.plans.silver import SilverTable, silver_step
 from tarnlake.operators.cleaning import drop_incomplete
 from tarnlake.sources.scratch import new_path
 from tarnlake.streaming.staging import load_new, read_new_files
 
+from .proxies import ctes, proxy
 from .registry import day, query, stamp, table
 
 CUT = "2024-01-15 00:00:00"
@@ -295,3 +301,70 @@ def cdc_stream_staging(spark, sf_dir):
         new = read_new_files(spark, f"{sf_dir}/events.parquet", schema)
         load_new(new, target, checkpoint, "run1", _at(NOW))
     return spark.read.parquet(target)
+
+
+LATEST = """select user_id, event_id, ts, event_type, value, row_number() over (partition by user_id
+  order by ts desc, event_id, event_type, value) rn from events"""
+
+
+def _lake(spark):
+    root = new_path(spark, "lake")
+    return Lake("lake_" + root.rsplit("-", 1)[1], root)
+
+
+@query("cdc_incremental_run", f"""
+with latest as ({LATEST}), mark as (select {stamp("max(ts)")} mark from events)
+select user_id, event_id, {stamp("ts")} ts, event_type, value, mark, 3::bigint runs, true registered_once
+from latest, mark where rn = 1""")
+def cdc_incremental_run(spark, sf_dir):
+    """Three runs: up to a day, everything, and a late batch older than the mark, which changes neither table nor mark."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    lake, spec = _lake(spark), SilverTable(("user_id",), lambda df: df, delete_sync=False)
+    early = e.where(F.col("ts") <= _at(CUT))
+    old = e.where(F.col("ts") <= _at("2024-01-05 00:00:00")).withColumn("value", F.lit(-1.0))
+    seen = []
+    for k, staging in enumerate((early, e, old)):
+        incremental_run.run(lake, "event", staging, f"v{k}", _at(NOW), spec, watermark_col="ts",
+                            ties=["event_id", "event_type", "value"])
+        seen.append(incremental_run.stored_mark(spark, lake, "event"))
+    if seen != sorted(seen):
+        raise AssertionError(f"the mark went back: {seen}")
+    marks, jobs = spark.table(lake.marks), spark.table(lake.jobs)
+    one = marks.select(F.date_format("watermark_value", "yyyy-MM-dd HH:mm:ss.SSSSSS")).scalar()
+    once = (jobs.agg(F.count(F.lit(1))).scalar() == 1)
+    return spark.table(lake.table("event")).where("is_active").drop("is_active").withColumns(
+        {"mark": one, "runs": F.lit(len(seen)), "registered_once": once})
+
+
+STAGED = {"customer": "p_customer", "seller": "p_seller", "product": "p_product", "order": "p_order",
+          "order_item": "p_order_item", "payment": "p_payment", "order_review": "p_order_review",
+          "product_category": "p_category", "geolocation": "p_geolocation"}
+
+
+@query("cdc_stage_tables", f"with {ctes(*STAGED.values())} " + " union all ".join(
+    f"select '{name}' table_name, count(*) n_rows, 'run9' run, '{NOW}.000000' ingested_at from {proxy_name}"
+    for name, proxy_name in STAGED.items()))
+def cdc_stage_tables(spark, sf_dir):
+    """All nine source tables staged by the registry; none has the watermark column, so each is loaded in full."""
+    parts = []
+    for name, proxy_name in STAGED.items():
+        staged = incremental_run.stage(name, proxy(spark, sf_dir, proxy_name), CUT, "run9", _at(NOW))
+        parts.append(staged.groupBy(F.lit(name).alias("table_name"), F.col("_job_run_id").alias("run"),
+                                    F.col("_ingested_at").alias("ingested_at")).agg(F.count(F.lit(1)).alias("n_rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("cdc_silver_metrics", f"""
+with mine as (select *, ts > timestamp '{CUT}' fresh from events),
+batch as (select distinct user_id from mine where fresh), tgt as (select distinct user_id from mine where not fresh)
+select (select count(*) from batch where user_id not in (select user_id from tgt)) inserts,
+  (select count(*) from batch where user_id in (select user_id from tgt)) updates,
+  (select {stamp("max(ts)")} from events) watermark_value, '2030-01-01 00:00:00.000000' mark_of_old_rows""")
+def cdc_silver_metrics(spark, sf_dir):
+    """Counts and mark of a step, and the mark of one whose rows are all older than the stored mark."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    target = inc.latest_per_key(e.where(F.col("ts") <= _at(CUT)), "user_id", "ts")
+    step = silver_step(e, merge.with_active_flag(target), "user_id", lambda df: df, watermark=CUT, watermark_col="ts")
+    late = silver_step(e, None, "user_id", lambda df: df, watermark="2030-01-01 00:00:00", watermark_col="ts")
+    return step.metrics.withColumns({"watermark_value": step.watermark.scalar(),
+                                     "mark_of_old_rows": late.watermark.scalar()})
