@@ -118,3 +118,24 @@ def test_long_texts_are_cut_only_before_white_space():
     text = " ".join(words(1, 5000)) + "y" * 3000
     parts = list(slices(text, 1000))
     assert "".join(parts) == text and len(parts) > 20 and all(p[0].isspace() for p in parts[1:])
+
+
+def test_words_of_whole_batches_are_what_the_pattern_finds():
+    import random
+
+    import pyarrow as pa
+
+    from tarnlake.llm import spans, wordpieces
+    r = random.Random(9)
+    letters = ["a", "s", "t", "re", "ve", "ll", "m", "d", "'", "'", "!", " ", "\n", "1", "é", "É", "×", "÷", "ß", "Œ", "œ", "–", "…", "€", "<"]
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 14))) for _ in range(4000)] + ["x<|y", "日", "a\xa0b"]
+    text = spans.Text(pa.array(texts, pa.string()))
+    low, starts, ends, other = wordpieces.plain_words(text.data, text.at)
+    row, _ = spans.row_of(text.at, starts)
+    found = [[] for _ in texts]
+    for i, a, b in zip(row.tolist(), starts.tolist(), ends.tolist()):
+        found[i].append(low[a:b].tobytes())
+    assert set(other.tolist()) == {i for i, t in enumerate(texts) if not wordpieces.plain(t)}
+    for i, t in enumerate(texts):
+        if wordpieces.plain(t):
+            assert found[i] == [w.encode() for w in wordpieces._PIECE.findall(t.lower())], t
