@@ -76,10 +76,11 @@ def relative_frequency(df: DataFrame, col: str) -> DataFrame:
     return counts.withColumn("share", F.col("n") / total)
 
 
-def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence | None = None) -> DataFrame:
-    """Contingency table. Counts per pair are made first, so the pivot sees one row per pair."""
+def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence) -> DataFrame:
+    """Contingency table with a column for each of ``values``. Counts per pair are made first, so the pivot sees one row
+    per pair; for columns of unknown values count the pairs instead, as rows."""
     pairs = df.groupBy(rows, cols).agg(F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy(rows).pivot(cols, list(values) if values else None).agg(F.sum("n")).na.fill(0)
+    return pairs.groupBy(rows).pivot(cols, list(values)).agg(F.sum("n")).na.fill(0)
 
 
 def stack(table: DataFrame, rows: str, name: str, value: str = "value") -> DataFrame:

@@ -52,28 +52,28 @@ def dim_customer(customer: DataFrame, geolocation: DataFrame, active_only: bool
         F.col("p.geolocation_lat").alias("customer_lat"), F.col("p.geolocation_lng").alias("customer_lng"))
 
 
-def dim_seller(seller: DataFrame) -> DataFrame:
-    return seller.select("seller_id", "seller_zip_code_prefix")
+def dim_seller(seller: DataFrame, active_only: bool = False) -> DataFrame:
+    return active_rows(seller, active_only).select("seller_id", "seller_zip_code_prefix")
 
 
-def dim_review(review: DataFrame) -> DataFrame:
-    return review.select("review_id", "review_score")
+def dim_review(review: DataFrame, active_only: bool = False) -> DataFrame:
+    return active_rows(review, active_only).select("review_id", "review_score")
 
 
-def dim_geolocation(geolocation: DataFrame) -> DataFrame:
-    return geolocation.select("geolocation_zip_code_prefix", *GEO)
+def dim_geolocation(geolocation: DataFrame, active_only: bool = False) -> DataFrame:
+    return active_rows(geolocation, active_only).select("geolocation_zip_code_prefix", *GEO)
 
 
-def dim_product(product: DataFrame, category: DataFrame) -> DataFrame:
+def dim_product(product: DataFrame, category: DataFrame, active_only: bool = False) -> DataFrame:
     """Products with the English category name; products of unknown category drop out."""
-    return product.join(category.select("product_category_name", "product_category_name_english"),
-                        "product_category_name").select(*PRODUCT_COLUMNS)
+    category = active_rows(category, active_only).select("product_category_name", "product_category_name_english")
+    return active_rows(product, active_only).join(category, "product_category_name").select(*PRODUCT_COLUMNS)
 
 
-def dim_order(order: DataFrame, payment: DataFrame) -> DataFrame:
+def dim_order(order: DataFrame, payment: DataFrame, active_only: bool = False) -> DataFrame:
     """One row per order and payment."""
-    return order.select("order_id", "order_status").join(
-        payment.select("order_id", "payment_type"), "order_id").select("order_id", "order_status", "payment_type")
+    return active_rows(order, active_only).select("order_id", "order_status").join(
+        active_rows(payment, active_only).select("order_id", "payment_type"), "order_id").select("order_id", "order_status", "payment_type")
 
 
 def dim_date(dates: DataFrame, day: str = "order_purchase_timestamp") -> DataFrame:
@@ -125,10 +125,9 @@ def fact_table_clean(item, order, payment, review, order_dim, product, customer,
 
 
 def sales_mart(fact, order_dim, product, customer, seller, date, counted: DataFrame | None = None) -> DataFrame:
-    """Fact with all dimensions, one row per order and unique customer: the smallest, by fact columns first.
+    """Fact with all dimensions, one row per order and unique customer: the smallest by fact columns.
 
-    The order dimension's columns come last in that order, so its smallest row per order is
-    taken before the join; the result is the same and the join does not multiply rows.
+    Of an order's rows in the order dimension the smallest is joined. Dimensions have one row per key.
     ``counted`` tells how rows spread over orders and customers, by default the fact itself; give the
     orders where the fact is not a written table.
     """
@@ -136,8 +135,12 @@ def sales_mart(fact, order_dim, product, customer, seller, date, counted: DataFr
         F.min(F.struct("order_status", "payment_type")).alias("__o")).select(
         "order_id", F.col("__o.order_status").alias("order_status"), F.col("__o.payment_type").alias("payment_type"))
     counted = fact if counted is None else counted
-    wide = fact.join(seller, "seller_id").join(product, "product_id").join(date, "dateKey")
-    wide = skew_join(skew_join(wide, customer, "customer_id", counted=counted), lowest, "order_id", counted=counted)
     keys = ["order_id", "customer_unique_id"]
-    order = [c for c in FACT_COLUMNS if c not in keys] + ["order_status", "payment_type"]
-    return one_per_key(wide, keys, order)
+    order = [c for c in FACT_COLUMNS if c not in keys]
+    # reduce the narrow fact first: only keys are read from the dimensions, and every join drops what it must drop
+    narrow = skew_join(fact, customer.select("customer_id", "customer_unique_id"), "customer_id", counted=counted)
+    for dim, key in ((seller, "seller_id"), (product, "product_id"), (date, "dateKey"), (order_dim, "order_id")):
+        narrow = narrow.join(dim.select(key), key, "left_semi")
+    one = one_per_key(narrow, keys, order)
+    return (one.join(customer.drop("customer_unique_id"), "customer_id").join(lowest, "order_id")
+            .join(seller, "seller_id").join(product, "product_id").join(date, "dateKey"))

@@ -67,7 +67,7 @@ def test_frequencies(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("a", "x")], "a string, b string")
     assert rows(pr.relative_frequency(df, "a"), "a", "share") == [("a", 0.75), ("b", 0.25)]
     assert [tuple(r) for r in pr.top_values(df, "a", 1).collect()] == [("a", 3)]
-    wide = pr.crosstab(df, "a", "b")
+    wide = pr.crosstab(df, "a", "b", sorted(r[0] for r in df.select("b").distinct().collect()))
     assert rows(wide) == [("a", 2, 1), ("b", 1, 0)]
     assert rows(pr.stack(wide, "a", "b")) == [("a", "x", 2), ("a", "y", 1), ("b", "x", 1), ("b", "y", 0)]
 

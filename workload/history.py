@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,11 +84,15 @@ def tbl_timestamp_as_of(spark, sf_dir):
 @query("tbl_cache", """
 select o_orderpriority, count(*) n, round(max(o_totalprice), 2) top from orders group by o_orderpriority""")
 def tbl_cache(spark, sf_dir):
-    spark.sql("drop view if exists cached_orders")
-    table(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice").createTempView("cached_orders")
-    spark.sql("cache lazy table cached_orders")
-    return spark.table("cached_orders").groupBy("o_orderpriority").agg(
+    name = f"cached_orders_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice").createTempView(name)
+    spark.sql(f"cache table {name}")
+    out = spark.table(name).groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max("o_totalprice"), 2).alias("top"))
+    out = spark.createDataFrame(out.collect(), out.schema)  # one row for each priority
+    spark.catalog.uncacheTable(name)
+    spark.catalog.dropTempView(name)
+    return out
 
 
 CATALOG = ("orders", "customer", "lineitem")
