@@ -1,7 +1,7 @@
 """Language identification, words first, with back-off to ever shorter character n-grams.
 
 The model knows each language's most frequent words and, for orders 4 down to 1, its most frequent n-grams of
-the distinct words (with marks at both ends). A known word scores its log frequency in each language. At each
+the distinct words (with marks at both ends); names of equal counts are known together or not at all. A known word scores its log frequency in each language. At each
 place of an unseen word the longest known n-gram is taken, and the log frequencies of the places are added up,
 each divided by its order because longer n-grams overlap more. A text's score for a language is the sum over
 its words plus the log share of the language among the learning documents, in integer millionths so that it is
@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import spans
-from .tables import written
-from .wordpieces import CACHE, slices
+from .tables import checked_broadcast, written
+from .wordpieces import slices
 
 #: Words, and n-grams of each order, known for a language.
 WORDS, GRAMS = 20_000, 10_000
+#: Scores of unseen words that a process remembers.
+UNSEEN = 200_000
 ORDERS = (4, 3, 2, 1)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -52,9 +54,12 @@ def _word_counts(batches):
         counts: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             counts.setdefault(lang, Counter()).update(words_of(text))
-        rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items() if any(map(str.isalpha, w))]
-        yield pa.RecordBatch.from_pylist([dict(zip(("lang", "word", "n"), r)) for r in rows],
-                                         pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
+        for lang, c in counts.items():
+            for w in [w for w in c if not any(map(str.isalpha, w))]:
+                del c[w]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())],
+                names=["lang", "word", "n"])
 
 
 def _gram_counts(batches):
@@ -113,7 +118,7 @@ class Predictor:
     def _reset(self) -> None:
         known = self.model.words
         self.row = {w: i for i, w in enumerate(known, 1)}
-        self.table = np.zeros((len(known) + 2 * CACHE, len(self.model.langs)), np.int64)
+        self.table = np.zeros((len(known) + UNSEEN, len(self.model.langs)), np.int64)
         if known:
             self.table[1:len(known) + 1] = np.stack(list(known.values()))
         self.used = len(known) + 1
@@ -155,12 +160,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", n_words: int =
     there = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counted = there.mapInArrow(_word_counts, "lang string, word string, n long")
     words = written(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
-    grams = words.select("lang", "word").mapInArrow(_gram_counts, "lang string, k int, gram string, n long") \
-        .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
+    grams = words.select("lang", "word").mapInArrow(_gram_counts, "lang string, k int, gram string, n long")
+    grams = written(grams.groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")), "language-grams")
 
     def most(df: DataFrame, by: list[str], name: str, limit: int) -> list:
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), name))
-        rows = df.withColumn("rank", rank).where(F.col("rank") <= limit).select(*by, name, "n").collect()
+        # the counts that at most ``limit`` names reach, from how many names have each count
+        ranked = Window.partitionBy(*by).orderBy(F.desc("n"))
+        level = df.groupBy(*by, "n").agg(F.count(F.lit(1)).alias("names")).withColumn("above", F.sum("names").over(ranked))
+        least = level.where(F.col("above") <= limit).groupBy(*by).agg(F.min("n").alias("least"))
+        rows = df.join(checked_broadcast(written(least, "least-counts")), by).where("n >= least").select(*by, name, "n").collect()
         return sorted(tuple(r) for r in rows)
 
     langs = sorted(tuple(r) for r in there.groupBy("lang").count().collect())
