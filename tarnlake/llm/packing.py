@@ -20,6 +20,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,11 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from . import spans
 from .wordpieces import encoder, turns
 
 TIERS = (2048, 1024, 512, 256)
 #: Tokens packed together, tokens of a step, and the end-of-document id.
-GROUP, STEP, END_ID = 2_000_000, 65_536, 1
+GROUP, STEP, END_ID = 1_000_000, 65_536, 1
 PIECES = ("start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, "
           "step_id long")
 
@@ -121,7 +123,7 @@ def pack(docs: DataFrame, definition: str, keep: Sequence[str] = ("doc_id",), te
     end = end_id.to_bytes(4, "little")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        encode_all = encoder(sent.value).encode_all
+        encode = encoder(sent.value).encode_column
         task = TaskContext.get().partitionId() << 36
         sequences = steps = 0
 
@@ -160,9 +162,9 @@ def pack(docs: DataFrame, definition: str, keep: Sequence[str] = ("doc_id",), te
         carried: list[tuple[int, int]] = []
         held = 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for lo, hi in turns([len(x or "") for x in texts], 1 << 20):
-                new = [x + end for x in encode_all(texts[lo:hi])]
+            texts = spans.Text(batch.column(0))
+            for lo, hi in turns(np.diff(texts.at).tolist(), 8 * spans.BLOCK):
+                new = [x.tobytes() + end for x in encode(texts.rows(lo, hi))]
                 ids += new
                 held += sum(map(len, new)) // 4
                 for part, column in zip(parts, batch.columns[1:]):
@@ -175,5 +177,6 @@ def pack(docs: DataFrame, definition: str, keep: Sequence[str] = ("doc_id",), te
         if ids:
             made, _ = flush(ids, [pa.concat_arrays(p) for p in parts], carried, True)
             yield made
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(text).alias("__text"), *[F.col(f.name) for f in kept]).mapInArrow(run, out)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text handled at once; a longer text is a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 #: Separators of the two word definitions: white space, and all ASCII but letters and digits.
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -65,6 +65,12 @@ class Text:
     def __len__(self) -> int:
         return len(self.at) - 1
 
+    def rows(self, lo: int, hi: int) -> Text:
+        """The rows from lo to before hi."""
+        part = object.__new__(Text)
+        part.data, part.at = self.data[self.at[lo]:self.at[hi]], self.at[lo:hi + 1] - self.at[lo]
+        return part
+
     def strings(self) -> list[str]:
         raw = self.data.tobytes()
         return [raw[a:b].decode() for a, b in zip(self.at[:-1].tolist(), self.at[1:].tolist())]
@@ -154,6 +160,7 @@ def per_text(df: DataFrame, fn: Callable[..., list], ddl: str, keep: Sequence[st
                     for i, x in enumerate(fn(Text(batch.column(0)), *batch.columns[1:1 + n]))]
             found = pa.StructArray.from_arrays(made, fields=list(kinds))
             yield pa.RecordBatch.from_arrays([*batch.columns[1 + n:], found], names=arrow.names)
+        pa.default_memory_pool().release_unused()  # the process may serve other tasks for long
 
     columns = [F.col(text).alias("__text"), *[F.col(c).alias(f"__also{i}") for i, c in enumerate(also)]]
     return df.select(*columns, *[F.col(f.name) for f in kept]).mapInArrow(run, out)

@@ -1,4 +1,4 @@
-"""Token ids of whole texts with a word-splitting public tokenizer, each distinct word encoded once."""
+"""Words and token ids of whole texts with a word-splitting public tokenizer."""
 
 from __future__ import annotations
 
@@ -7,18 +7,22 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from . import spans
 from .spans import per_process
 
-#: How the tokenizer splits lower-cased text, for the characters of _PLAIN. Fixed values of the vocabulary file.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: How the tokenizer splits lower-cased text of the characters in _PLAIN. Fixed values of the vocabulary file.
+_PIECE = re.compile(r"[a-zß-öø-ÿœ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\sa-z0-9ß-öø-ÿœ]+")
 #: Other characters, and the marker of special tokens, take the tokenizer's own path.
-_OTHER = re.compile("[^\t\n\r -~À-ÿŒœ–—‘’“”…€]|<\\|")
+_PLAIN = "\t\n\r -~À-ÿŒœ–—‘’“”…€"
+_OTHER = re.compile(f"[^{_PLAIN}]")
+_PLAIN_BYTES = bytes(b for b in range(256) if _OTHER.match(chr(b)) is None)
 _WORD_END = "</w>"
 _SPACE = re.compile(r"\s")
 #: Words remembered, and characters taken at once.
-CACHE, SLICE = 400_000, 1 << 20
+CACHE, SLICE = 80_000, 1 << 20
 
 
 def slices(text: str, size: int = SLICE) -> Iterator[str]:
@@ -45,6 +49,16 @@ def turns(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def plain(text: str) -> bool:
+    """Whether _PIECE splits the text as the tokenizer does."""
+    if "<|" in text:
+        return False
+    try:
+        return not text.encode("latin-1").translate(None, _PLAIN_BYTES)
+    except UnicodeEncodeError:
+        return _OTHER.search(text) is None
+
+
 class Splitter:
     """Words of a text as the tokenizer normalises and splits it."""
 
@@ -54,18 +68,87 @@ class Splitter:
     def words(self, text: str) -> Iterator[list[str]]:
         """The words, in lists of bounded length."""
         for part in slices(text):
-            if _OTHER.search(part) is None:
+            if plain(part):
                 yield _PIECE.findall(part.lower())
             else:  # the tokenizer's own steps; special tokens are ordinary text here
-                plain = self.tokenizer.normalizer.normalize_str(part)
-                yield [plain[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
+                normal = self.tokenizer.normalizer.normalize_str(part)
+                yield [normal[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+
+
+def _byte_classes() -> tuple[np.ndarray, np.ndarray]:
+    """Class of each ASCII byte (0 space, 1 letter, 2 digit, 3 sign) and whether it is a plain character."""
+    kind = np.full(256, 3, np.int8)
+    kind[[0x09, 0x0A, 0x0D, 0x20]] = 0
+    kind[[b for b in range(128) if chr(b).isalpha()]] = 1
+    kind[[b for b in range(128) if chr(b).isdigit()]] = 2
+    return kind, np.array([b < 0x80 and b in _PLAIN_BYTES for b in range(256)])
+
+
+_KIND, _PLAIN_ASCII = _byte_classes()
+#: Second and third bytes of the plain signs that take three bytes.
+_SIGNS = [tuple(c.encode()[1:]) for c in "–—‘’“”…€"]
+
+
+def _after(data: np.ndarray, k: int) -> np.ndarray:
+    """The byte k places on (0 past the end)."""
+    out = np.zeros_like(data)
+    out[:len(data) - k] = data[k:]
+    return out
+
+
+def plain_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What _PIECE finds in whole texts: lower-cased bytes, starts and ends of words, and the rows that are not plain."""
+    n = len(data)
+    if not n:
+        return data, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    one, two = _after(data, 1), _after(data, 2)
+    low, kind, good = spans.LOWER[data], _KIND[data], _PLAIN_ASCII[data]
+    # two bytes: U+00C0 to U+00FF, and the ligature oe
+    lead = np.flatnonzero(data == 0xC3)
+    second = one[lead]
+    good[lead] = good[lead + 1] = True
+    low[lead + 1] = np.where((second <= 0x9E) & (second != 0x97), second + 0x20, second)
+    kind[lead] = kind[lead + 1] = np.where((second == 0x97) | (second == 0xB7), 3, 1)
+    lead = np.flatnonzero((data == 0xC5) & ((one == 0x92) | (one == 0x93)))
+    good[lead] = good[lead + 1] = True
+    low[lead + 1] = 0x93
+    kind[lead] = kind[lead + 1] = 1
+    # three bytes: signs
+    lead = np.flatnonzero(data == 0xE2)
+    lead = lead[np.logical_or.reduce([(one[lead] == x) & (two[lead] == y) for x, y in _SIGNS])]
+    good[lead] = good[lead + 1] = good[lead + 2] = True
+    bad = np.flatnonzero(~good | ((data == 0x3C) & (one == 0x7C)))
+    other = np.unique(np.searchsorted(at, bad, "right") - 1)
+
+    before = np.zeros(n, np.int8)
+    before[1:] = kind[:-1]
+    first = at[:-1][at[:-1] < at[1:]]
+    before[first] = 0
+    start = (kind != 0) & ((kind != before) | (kind == 2))
+    # an apostrophe that starts a word takes s, t, m, d, re, ve or ll with it
+    mark = np.flatnonzero((data == 0x27) & start)
+    if len(mark):
+        x, y = _after(low, 1)[mark], _after(low, 2)[mark]
+        row_end = at[np.searchsorted(at, mark, "right")]
+        single = np.isin(x, list(b"stmd")) & (mark + 1 < row_end)
+        double = (((x == 0x72) & (y == 0x65)) | ((x == 0x76) & (y == 0x65)) | ((x == 0x6C) & (y == 0x6C))) & (mark + 2 < row_end)
+        for hit, size in ((single, 1), (double, 2)):
+            m = mark[hit]
+            start[m + 1] = False
+            past = m + 1 + size
+            past = past[past < n]
+            start[past] |= kind[past] != 0
+    border = np.append(np.flatnonzero(start | (kind == 0)), n)
+    begins = start[border[:-1]]
+    return low, border[:-1][begins], border[1:][begins], other
 
 
 class Encoder:
-    """Ids as ``tokenizers`` gives them without special tokens, as little-endian 32-bit bytes.
+    """Ids as ``tokenizers`` gives them without special tokens, as little-endian unsigned 32-bit numbers.
 
-    The text is cut into the tokenizer's own words; words not met before are encoded together, and told
-    apart by the word-end mark of their last token. Texts with rare characters are encoded as they are.
+    Texts are cut into the tokenizer's own words, whole batches at a time. Each distinct word, told by a 64-bit hash
+    of its bytes, is encoded once; new words are encoded together, and told apart by the word-end mark of their last
+    token. Texts with rare characters are encoded as they are.
     """
 
     def __init__(self, definition: str) -> None:
@@ -73,63 +156,68 @@ class Encoder:
         vocab = json.loads(definition)["model"]["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith(_WORD_END)]] = True
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[int, bytes] = {}
+        self.old: dict[int, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+    def _learn(self, words: list[str]) -> list[bytes]:
+        joined = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(words):
-            raw, last = ids.tobytes(), 0
-            for word, cut in zip(words, (4 * cuts).tolist()):
-                self.known[word] = raw[last:cut]
-                last = cut
-        else:
-            for word in words:
-                self.known[word] = self._whole(word)
+        if len(cuts) != len(words):
+            return [self._whole(word) for word in words]
+        raw, ends = ids.tobytes(), (4 * cuts).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def words(self, text: str) -> list[str] | None:
-        """The words that are encoded apart, or None for a text that must be encoded whole."""
-        return None if _OTHER.search(text) else _PIECE.findall(text.lower())
-
-    def _meet(self, lists: list[list[str] | None]) -> None:
-        """Have every word of the lists known. Words not met since the last turn are forgotten when there are many."""
-        new: set[str] = set()
-        new.update(*(x for x in lists if x))
+    def _pieces(self, hashes: list[int], word) -> list[bytes]:
+        """The ids of distinct words; ``word(i)`` is the i-th. Words not met for long are forgotten when there are many."""
         if len(self.known) > CACHE:
             self.old, self.known = self.known, {}
-        new = new.difference(self.known)
-        unknown = new.difference(self.old)
-        for word in new - unknown:
-            self.known[word] = self.old[word]
-        if unknown:
-            self._learn(sorted(unknown))
+        known, old = self.known, self.old
+        new = [i for i, h in enumerate(hashes) if h not in known]
+        for i in new:
+            if hashes[i] in old:
+                known[hashes[i]] = old[hashes[i]]
+        new = [i for i in new if hashes[i] not in known]
+        if new:
+            known.update(zip([hashes[i] for i in new], self._learn([word(i) for i in new])))
+        return [known[h] for h in hashes]
+
+    def _block(self, data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        low, starts, ends, other = plain_words(data, at)
+        hashed = spans.span_hash(low, starts, ends)
+        values, where, inverse = np.unique(hashed, return_index=True, return_inverse=True)
+        raw, a, b = low.tobytes(), starts[where].tolist(), ends[where].tolist()
+        pieces = self._pieces(values.tolist(), lambda i: raw[a[i]:b[i]].decode(errors="replace"))
+        flat = np.frombuffer(b"".join(pieces), "<u4")
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        n = size[inverse]
+        total = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[inverse] - total[:-1], n) + np.arange(total[-1])]
+        cuts = total[np.searchsorted(starts, at)].tolist()
+        out = [ids[x:y] for x, y in zip(cuts, cuts[1:])]
+        for r in other.tolist():
+            text = data[at[r]:at[r + 1]].tobytes().decode()
+            out[r] = np.frombuffer(b"".join(map(self._whole, slices(text))), "<u4")
+        return out
+
+    def encode_column(self, texts: spans.Text) -> list[np.ndarray]:
+        """The ids of each text. Texts of several blocks are cut before white space."""
+        out: list[np.ndarray] = []
+        for lo, hi, data, at in texts.blocks():
+            if hi == lo + 1 and len(data) > 2 * spans.BLOCK:
+                parts = spans.Text(pa.array(list(slices(data.tobytes().decode(), spans.BLOCK // 2)), pa.string()))
+                longest = int(np.diff(parts.at).max())
+                made = self._block(data, at) if longest > 2 * spans.BLOCK else self.encode_column(parts)
+                out.append(np.concatenate(made))
+            else:
+                out += self._block(data, at)
+        return out
 
     def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        group: list[tuple[int, str]] = []
-        chars = 0
-
-        def flush() -> None:
-            lists = [self.words(part) for _, part in group]
-            self._meet(lists)
-            get = self.known.__getitem__
-            for (i, part), words in zip(group, lists):
-                out[i].append(self._whole(part) if words is None else b"".join(map(get, words)))
-
-        for i, text in enumerate(texts):
-            for part in slices(text or ""):
-                group.append((i, part))
-                chars += len(part)
-                if chars >= SLICE:
-                    flush()
-                    group, chars = [], 0
-        flush()
-        return [b"".join(x) for x in out]
+        return [x.tobytes() for x in self.encode_column(spans.Text(pa.array(texts, pa.string())))]
 
 
 def encoder(definition: str) -> Encoder:
