@@ -6,7 +6,7 @@ when the intersection is at least t of the union, so each misses at most floor((
 
 1. *Candidates by sampled prefixes.* In hash order, the first ``misses + l`` shingles of linked sets share at
    least ``l`` of them (``l`` a tenth of the smaller set, plus one). Each class sends that prefix only; a shingle that
-   many documents of a batch hold is combined there and sent once. A class stays if enough of its prefix occurs elsewhere.
+   many documents of a task hold is combined there and sent once for each million. A class stays if enough of its prefix occurs elsewhere.
 2. *Global order.* For the classes left, shingles are counted; rarer ones come first. Classes with more
    unshared shingles than they may miss drop out. The others meet by their shared prefix shingles, and
    connected classes form a block: linked sets are always in one block.
@@ -36,8 +36,8 @@ from . import spans
 from .tables import checked_broadcast, components, with_flag, written
 
 N, THRESHOLD = 5, Fraction(4, 5)
-#: Shingles of a block that one task joins.
-PART = 4_000_000
+#: Shingles of a block that one task joins, and prefix shingles combined before they are sent.
+PART, COMBINED = 4_000_000, 1_000_000
 
 
 # ---- sets -----------------------------------------------------------------------------------------------
@@ -80,32 +80,41 @@ def _classes(texts: spans.Text, n: int) -> list:
 # ---- 1. candidates ----------------------------------------------------------------------------------------
 
 def _prefix_rows(n: int, t: Fraction):
-    """Arrow mapper: (key, class, shared). Each distinct prefix shingle of a batch is sent once, with one class.
+    """Arrow mapper: (key, class, shared). Each distinct prefix shingle of COMBINED is sent once, with one class.
 
-    shared: 0 or -1 for a shingle of one or of several classes of the batch; above 0, a class and how many of
-    its prefix shingles it shares within the batch.
+    shared: 0 or -1 for a shingle of one or of several classes met together; above 0, a class and how many of
+    its prefix shingles it shares among those.
     """
+    def combined(done: dict[int, np.ndarray]) -> pa.RecordBatch:
+        token = np.concatenate(list(done.values()))
+        owner = np.repeat(np.fromiter(done, np.int64, len(done)), [len(s) for s in done.values()])
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        new = np.ones(len(token), bool)
+        new[1:] = token[1:] != token[:-1]
+        head = np.flatnonzero(new)
+        several = np.diff(np.append(head, len(token))) > 1
+        known, times = np.unique(owner[~new], return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([spans.signed(token[head]), pa.array(known)]),
+             pa.array(np.concatenate([owner[head], known])),
+             pa.array(np.concatenate([-several.astype(np.int64), times]))], names=["key", "c", "shared"])
+
     def run(batches):
+        done: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
-            done: dict[int, np.ndarray] = {}
             for s in shingle_sets(spans.Text(batch.column(0)), n):
-                if len(s):
-                    done.setdefault(_class_of(s), s[:_misses(len(s), t) + len(s) // 10 + 1])
-            if not done:
-                continue
-            token = np.concatenate(list(done.values()))
-            owner = np.repeat(np.fromiter(done, np.int64, len(done)), [len(s) for s in done.values()])
-            order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
-            new = np.ones(len(token), bool)
-            new[1:] = token[1:] != token[:-1]
-            head = np.flatnonzero(new)
-            several = np.diff(np.append(head, len(token))) > 1
-            known, times = np.unique(owner[~new], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([spans.signed(token[head]), pa.array(known)]),
-                 pa.array(np.concatenate([owner[head], known])),
-                 pa.array(np.concatenate([-several.astype(np.int64), times]))], names=["key", "c", "shared"])
+                c = _class_of(s)
+                if c and c not in done:
+                    done[c] = s[:_misses(len(s), t) + len(s) // 10 + 1].copy()
+                    held += len(done[c])
+                if held >= COMBINED:
+                    yield combined(done)
+                    done, held = {}, 0
+        if done:
+            yield combined(done)
+
     return run
 
 

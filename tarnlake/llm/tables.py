@@ -13,7 +13,13 @@ from tarnlake.sources.scratch import new_path
 BROADCAST_KEYS = 2_000_000
 
 
+#: Rows of a batch between Spark and Python; whole texts are long, and the default of 10,000 is meant for short rows.
+TEXT_ROWS = 500
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table, in a session whose Arrow batches suit whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
