@@ -24,16 +24,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnlake.sources.scratch import new_path
 
 from . import spans
+from .tables import checked_broadcast
 from .wordpieces import encoder, turns
 
-SEQ_LEN, PER_SHARD, END_ID, ROUNDS = 2048, 4096, 1, 6
+SEQ_LEN, PER_SHARD, END_ID, ROUNDS = 2048, 1024, 1, 6
 
 
 # ---- the permutation --------------------------------------------------------------------------------------
@@ -79,13 +80,13 @@ def sequences(docs: DataFrame, definition: str, key: str = "doc_id", text: str =
 
     def run(batches):
         codec = pa.Codec("zstd", compression_level=3)
-        encode_all = encoder(sent.value).encode_all
+        encode = encoder(sent.value).encode_column
         task, local = TaskContext.get().partitionId(), 0
         rest, owner = np.zeros(0, f"<u{width}"), None  # ids not yet in a full sequence, and whose the first is
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo, hi in turns([len(x or "") for x in texts], 1 << 22):
-                docs_ids = [np.frombuffer(x, "<u4").astype(f"<u{width}") for x in encode_all(texts[lo:hi])]
+            texts = spans.Text(batch.column(1))
+            for lo, hi in turns(np.diff(texts.at).tolist(), 8 * spans.BLOCK):
+                docs_ids = [x.astype(f"<u{width}") for x in encode(texts.rows(lo, hi))]
                 size = np.array([len(rest), *[len(x) + 1 for x in docs_ids]])
                 ids = np.concatenate([rest, *[y for x in docs_ids for y in (x, end)]])
                 owners = pa.concat_arrays([pa.array([owner], batch.column(0).type), batch.column(0).slice(lo, hi - lo)])
@@ -155,11 +156,12 @@ def materialise(docs: DataFrame, definition: str, key: int, path: str | None = N
     held = new_path(spark, "sequences")
     made.write.option("compression", "uncompressed").parquet(held)  # the ids are compressed already
     made = spark.read.schema(made.schema).parquet(held)
-    # a row for each task, not for each sequence
-    counts = made.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
-    n = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    before = counts.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("base"))
-    placed = made.join(before, "task").withColumn("slot", slot_of(F.col("base") + F.col("local"), n, key))
+    # one number for each task that read documents
+    counts = sorted(tuple(r) for r in made.groupBy("task").count().collect())
+    bases = np.cumsum([0, *[c for _, c in counts]]).tolist()
+    n = bases[-1]
+    before = spark.createDataFrame([(t, b) for (t, _), b in zip(counts, bases)], "task int, base long")
+    placed = made.join(checked_broadcast(before), "task").withColumn("slot", slot_of(F.col("base") + F.col("local"), n, key))
     shard = F.expr(f"CAST(slot DIV {per_shard} AS INT)")
     shards = Shards(path, n, seq_len, width, per_shard)
     if n:
@@ -194,10 +196,12 @@ def read_slots(spark: SparkSession, shards: Shards, start: int = 0, stop: int |
         for batch in batches:
             for shard, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = data.as_buffer()
-                slots = [shard * per_shard + r for r in range(raw.size // stride)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slots, pa.int64()),
-                     pa.array([raw.slice(r * stride, size).to_pybytes() for r in range(len(slots))], pa.binary())],
-                    names=["slot", "ids"])
+                n = raw.size // stride
+                for lo in range(0, n, 256):
+                    some = range(lo, min(lo + 256, n))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard * per_shard + r for r in some], pa.int64()),
+                         pa.array([raw.slice(r * stride, size).to_pybytes() for r in some], pa.binary())],
+                        names=["slot", "ids"])
 
     return content.mapInArrow(cut, "slot long, ids binary").where(F.col("slot").between(start, stop - 1))
