@@ -30,7 +30,8 @@ def train_quota(labels: DataFrame, label: str, train_size: float) -> DataFrame:
 ROUNDS, DIGITS = 3, 3
 
 
-def stratified_split(df: DataFrame, label: str, row_id: str, train_size: float = 0.8) -> DataFrame:
+def stratified_split(df: DataFrame, label: str, row_id: str, train_size: float = 0.8, digits: int = DIGITS
+                     ) -> DataFrame:
     """``df`` with a column ``split`` ('train' or 'test'), the rows of each label in MD5 order of the id.
 
     Rows are counted per label and MD5 prefix, which finds the prefix that holds the border of
@@ -44,9 +45,9 @@ def stratified_split(df: DataFrame, label: str, row_id: str, train_size: float =
     keyed = df.select(label, F.col(row_id).alias("__id"), h.alias("__h"))
     border = None
     for k in range(1, ROUNDS + 1):
-        rows = keyed.withColumn("__q", F.substring("__h", 1, DIGITS * k))
+        rows = keyed.withColumn("__q", F.substring("__h", 1, digits * k))
         if border is not None:
-            rows = rows.withColumn("__p", F.substring("__h", 1, DIGITS * (k - 1))).join(border, [label, "__p"])
+            rows = rows.withColumn("__p", F.substring("__h", 1, digits * (k - 1))).join(border, [label, "__p"])
             wanted = F.max("__take").alias("__wanted")
         else:
             wanted = F.lit(0).alias("__wanted")
@@ -61,7 +62,7 @@ def stratified_split(df: DataFrame, label: str, row_id: str, train_size: float =
             (before < F.col("__wanted")) & (F.col("__wanted") <= F.col("__cum"))).select(
             label, F.col("__q").alias("__p"), (F.col("__wanted") - before).alias("__take"))
     rank = F.row_number().over(Window.partitionBy(label, "__p").orderBy("__h", "__id"))
-    last = keyed.withColumn("__p", F.substring("__h", 1, DIGITS * ROUNDS)).join(border, [label, "__p"])
+    last = keyed.withColumn("__p", F.substring("__h", 1, digits * ROUNDS)).join(border, [label, "__p"])
     cut = last.withColumn("__rn", rank).where(F.col("__rn") == F.col("__take")).select(label, F.struct("__h", "__id").alias("__cut"))
     here = F.struct(h.alias("__h"), F.col(row_id).alias("__id"))
     train = F.col("__cut").isNotNull() & (here <= F.col("__cut"))
