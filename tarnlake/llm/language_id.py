@@ -1,14 +1,16 @@
 """Language identification, words first, with back-off to ever shorter character n-grams.
 
-The model knows each language's most frequent words and, for orders 4 down to 1, its most frequent n-grams of
-the distinct words (with marks at both ends); names of equal counts are known together or not at all. A known word scores its log frequency in each language. At each
-place of an unseen word the longest known n-gram is taken, and the log frequencies of the places are added up,
-each divided by its order because longer n-grams overlap more. A text's score for a language is the sum over
-its words plus the log share of the language among the learning documents, in integer millionths so that it is
-the same in any order; the answer is the highest, the smaller name on ties, with its posterior probability.
-
-Counts cover every learning document. The sizes of the two vocabularies for a language are parameters of the
-model; they alone bound what reaches the driver and the tasks.
+The model knows every word of the learning documents, and for orders 4 down to 1 every n-gram of their distinct
+words (with marks at both ends). A known word scores its log frequency in each language. At each place of an unseen
+word the longest known n-gram is taken, and the log frequencies of the places are added up, each divided by its
+order because longer n-grams overlap more. A text's score for a language is the sum over its words plus the log
+share of the language among the learning documents, in integer millionths so that it is the same in any order; the
+answer is the highest, the smaller name on ties, with its posterior probability.
+
+The counts stay tables. Only the names met most often, up to ``HOT``, are sent to the tasks, which score them at
+once; a document's other words, counted per document, are joined to the whole word table, and those words that are
+not in it, by the n-grams that were not sent, to the whole n-gram table. How many names are sent has no influence
+on the result. ``n_words`` and ``n_grams`` bound what is known for a language, if given.
 
 Defined results: null texts and texts without letters are ``und`` with score 0, and so is every text if nothing
 could be learnt; nothing is learnt from null texts, null languages or null ids; a null id is not held out;
@@ -21,20 +23,21 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import spans
 from .tables import checked_broadcast, written
 from .wordpieces import slices
 
-#: Words, and n-grams of each order, known for a language.
-WORDS, GRAMS = 20_000, 10_000
-#: Scores of unseen words that a process remembers.
-UNSEEN = 200_000
+#: Words, and n-grams of all orders, whose scores are sent to the tasks; and their greatest length.
+HOT, HOT_LENGTH = 100_000, 64
 ORDERS = (4, 3, 2, 1)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -59,7 +62,7 @@ def _word_counts(batches):
                 del c[w]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())],
-                names=["lang", "word", "n"])
+                names=["lang", "name", "n"])
 
 
 def _gram_counts(batches):
@@ -72,82 +75,86 @@ def _gram_counts(batches):
         columns = list(zip(*rows)) or [(), (), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
                                           pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],
-                                         names=["lang", "k", "gram", "n"])
+                                         names=["lang", "k", "name", "n"])
 
 
 class Model:
-    """Integer log frequencies, by language in name order."""
+    """Languages in name order, their log shares, and tables of k (0 for words), name, n and scores in each language."""
 
-    def __init__(self, langs: Sequence[tuple[str, int]], words: list, grams: list) -> None:
+    def __init__(self, langs: Sequence[tuple[str, int]], words: DataFrame, grams: DataFrame) -> None:
         self.langs = [name for name, _ in langs]
         docs = np.array([n for _, n in langs], float)
         self.prior = np.rint(1e6 * np.log(docs / docs.sum())).astype(np.int64) if len(langs) else np.zeros(0, np.int64)
-        self.words = self._table(words)
-        self.grams = {k: self._table([g[:1] + g[2:] for g in grams if g[1] == k], 1 / k) for k in ORDERS}
-
-    def _table(self, rows: list[tuple[str, str, int]], weight: float = 1.0) -> dict[str, np.ndarray]:
-        """name -> log frequency in each language, smoothed by one for each name."""
-        at = {name: i for i, name in enumerate(sorted({r[1] for r in rows}))}
-        count = np.ones((len(at), len(self.langs)))
-        of = {lang: i for i, lang in enumerate(self.langs)}
-        for lang, name, n in rows:
-            count[at[name], of[lang]] += n
-        logs = np.rint(1e6 * weight * np.log(count / count.sum(axis=0))).astype(np.int64)
-        return {name: logs[i] for name, i in at.items()}
-
-    def unseen(self, word: str) -> np.ndarray:
-        """The back-off score of a word."""
-        total = np.zeros(len(self.langs), np.int64)
-        marked = f"^{word}$"
-        for i in range(len(marked)):
-            for k in ORDERS:
-                found = self.grams[k].get(marked[i:i + k]) if i + k <= len(marked) else None
-                if found is not None:
-                    total += found
-                    break
-        return total
+        self.word_table, self.gram_table = words, grams
 
+    @cached_property
+    def words(self) -> dict[str, np.ndarray]:
+        """All words, on the driver: to look into small models."""
+        return {r[0]: np.array(r[1]) for r in self.word_table.select("name", "scores").collect()}
 
-class Predictor:
-    """Scores of distinct words, kept as rows of one growing table; row 0 is for words without letters."""
+    @cached_property
+    def grams(self) -> dict[int, dict[str, np.ndarray]]:
+        """All n-grams by order, likewise."""
+        rows = self.gram_table.select("k", "name", "scores").collect()
+        return {k: {r[1]: np.array(r[2]) for r in rows if r[0] == k} for k in ORDERS}
 
-    def __init__(self, model: Model) -> None:
-        self.model = model
-        self._reset()
-
-    def _reset(self) -> None:
-        known = self.model.words
-        self.row = {w: i for i, w in enumerate(known, 1)}
-        self.table = np.zeros((len(known) + UNSEEN, len(self.model.langs)), np.int64)
-        if known:
-            self.table[1:len(known) + 1] = np.stack(list(known.values()))
-        self.used = len(known) + 1
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        new = set(words).difference(self.row)
-        if self.used + len(new) > len(self.table):
-            self._reset()
-            new = set(words).difference(self.row)
-            self.table = np.concatenate([self.table, np.zeros((len(new), self.table.shape[1]), np.int64)])
-        for word in new:
-            if any(map(str.isalpha, word)):
-                self.table[self.used] = self.model.unseen(word)
-                self.row[word] = self.used
-                self.used += 1
-            else:
-                self.row[word] = 0
-        return np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        total, letters = self.model.prior.copy(), False
+def _most_met(table: DataFrame, limit: int) -> pa.Table:
+    """k, name and scores of the names with the highest counts, ``limit`` at most, by levels of counts."""
+    some = table.where(F.length("name") <= HOT_LENGTH).withColumn("level", F.floor(8 * F.log2("n")))
+    least = above = None
+    for level, n in sorted(some.groupBy("level").count().collect(), reverse=True):
+        if (above := (above or 0) + n) > limit:
+            break
+        least = level
+    return some.where(F.lit(False) if least is None else F.col("level") >= least).select("k", "name", "scores").toArrow()
+
+
+class Scorer:
+    """What a task scores by itself: words sent to it, and places of unseen words as far as the n-grams sent decide."""
+
+    def __init__(self, model: Model) -> None:
+        words, grams = _most_met(model.word_table, HOT), _most_met(model.gram_table, HOT)
+        self.prior, width = model.prior, len(model.langs)
+        # row 0 is for words without letters, row 1 for those to be joined
+        self.row = {w: i for i, w in enumerate(words["name"].to_pylist(), 2)}
+        self.table = np.zeros((len(self.row) + 2, width), np.int64)
+        self.table[2:] = words["scores"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+        self.gram = {g: i for i, g in enumerate(zip(grams["k"].to_pylist(), grams["name"].to_pylist()))}
+        self.gram_scores = grams["scores"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+
+    def score(self, text: str | None) -> tuple[np.ndarray, bool, Counter]:
+        """The score by prior and words sent, whether there are letters, and the counts of the other words."""
+        total, letters, rest = self.prior.copy(), False, Counter()
         for part in slices(text or ""):
-            rows = self._rows(_WORD.findall(part.lower()))
+            words = _WORD.findall(part.lower())
+            new = {w: int(any(map(str.isalpha, w))) for w in set(words).difference(self.row)}
+            if new:
+                rows = np.fromiter((new[w] if w in new else self.row[w] for w in words), np.int64, len(words))
+                rest.update(w for w in words if new.get(w))
+            else:
+                rows = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
             letters = letters or bool(rows.any())
             total += self.table[rows].sum(axis=0)
-        if not letters or not self.model.langs:
-            return "und", 0.0
-        best = int(total.argmax())
-        return self.model.langs[best], float(1 / np.exp((total - total[best]) / 1e6).sum())
+        return total, letters, rest
+
+    def unseen(self, word: str) -> tuple[np.ndarray, list[tuple[int, int, str, list[int]]]]:
+        """The back-off score by n-grams sent; and place, order and longer n-gram to look up, with what it would replace."""
+        total, tries = np.zeros_like(self.prior), []
+        marked = f"^{word}$"
+        for i in range(len(marked)):
+            longer, found = [], np.zeros_like(total)
+            for k in ORDERS:
+                if i + k <= len(marked):
+                    at = self.gram.get((k, marked[i:i + k]))
+                    if at is not None:
+                        found = self.gram_scores[at]
+                        break
+                    longer.append(k)
+            total += found
+            less = found.tolist() if longer else []
+            tries += [(i, k, marked[i:i + k], less) for k in longer]
+        return total, tries
 
 
 def learns(key: str) -> F.Column:
@@ -155,35 +162,92 @@ def learns(key: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 != 1, F.lit(False))
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", n_words: int = WORDS, n_grams: int = GRAMS) -> Model:
-    """The model of the documents given. All their words are counted; the most frequent are kept."""
+def _known(counts: DataFrame, langs: Sequence[str], limit: int | None) -> DataFrame:
+    """k, name, n and scores of the names counted: log frequencies smoothed by one for each name."""
+    if limit is not None:
+        # the counts that at most ``limit`` names reach, from how many names have each count
+        ranked = Window.partitionBy("lang", "k").orderBy(F.desc("n"))
+        level = counts.groupBy("lang", "k", "n").agg(F.count(F.lit(1)).alias("names")).withColumn("above", F.sum("names").over(ranked))
+        least = level.where(F.col("above") <= limit).groupBy("lang", "k").agg(F.min("n").alias("least"))
+        counts = counts.join(checked_broadcast(written(least, "least-counts")), ["lang", "k"]).where("n >= least")
+    each = [F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)) for name in langs]
+    known = written(counts.groupBy("k", "name").agg(F.sum("n").alias("n"), F.array(*each).cast("array<long>").alias("counts")), "language-names")
+    sums = {r[0]: r[2:] for r in known.groupBy("k").agg(F.count(F.lit(1)), *[
+        F.count(F.lit(1)) + F.sum(F.col("counts")[i]) for i in range(len(langs))]).collect()}
+    scores = []
+    for i in range(len(langs)):
+        of = F.lit(None)
+        for k, total in sums.items():
+            of = F.when(F.col("k") == k, 1e6 / max(k, 1) * F.log((F.col("counts")[i] + 1) / F.lit(float(total[i])))).otherwise(of)
+        scores.append(F.rint(of).cast("long"))
+    return known.select("k", "name", "n", F.array(*scores).cast("array<long>").alias("scores"))
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", n_words: int | None = None, n_grams: int | None = None) -> Model:
+    """The model of the documents given: all their words and n-grams, or the most frequent of each language and order."""
     there = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counted = there.mapInArrow(_word_counts, "lang string, word string, n long")
-    words = written(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
-    grams = words.select("lang", "word").mapInArrow(_gram_counts, "lang string, k int, gram string, n long")
-    grams = written(grams.groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")), "language-grams")
+    counted = there.mapInArrow(_word_counts, "lang string, name string, n long")
+    words = written(counted.groupBy("lang", F.lit(0).alias("k"), "name").agg(F.sum("n").alias("n")), "language-words")
+    grams = words.select("lang", "name").mapInArrow(_gram_counts, "lang string, k int, name string, n long")
+    grams = written(grams.groupBy("lang", "k", "name").agg(F.sum("n").alias("n")), "language-grams")
+    langs = sorted(tuple(r) for r in there.groupBy("lang").count().collect())
+    names = [name for name, _ in langs]
+    return Model(langs, _known(words, names, n_words), _known(grams, names, n_grams))
 
-    def most(df: DataFrame, by: list[str], name: str, limit: int) -> list:
-        # the counts that at most ``limit`` names reach, from how many names have each count
-        ranked = Window.partitionBy(*by).orderBy(F.desc("n"))
-        level = df.groupBy(*by, "n").agg(F.count(F.lit(1)).alias("names")).withColumn("above", F.sum("names").over(ranked))
-        least = level.where(F.col("above") <= limit).groupBy(*by).agg(F.min("n").alias("least"))
-        rows = df.join(checked_broadcast(written(least, "least-counts")), by).where("n >= least").select(*by, name, "n").collect()
-        return sorted(tuple(r) for r in rows)
 
-    langs = sorted(tuple(r) for r in there.groupBy("lang").count().collect())
-    return Model(langs, most(words, ["lang"], "word", n_words), most(grams, ["lang", "k"], "gram", n_grams))
+def _plus(total: str, more: str) -> F.Column:
+    return F.when(F.col(more).isNull(), F.col(total)).otherwise(F.zip_with(total, more, lambda x, y: x + y))
+
+
+def _unseen(words: DataFrame, model: Model, scorer) -> DataFrame:
+    """name and scores of distinct words that were not learnt, by the longest known n-gram at each place."""
+    width = range(len(model.langs))
+    out = "name string, base array<long>, tries array<struct<place: int, k: int, gram: string, less: array<long>>>"
+    kinds = to_arrow_schema(T.StructType.fromDDL(out))
+
+    def run(batches):
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            made = [scorer().unseen(w) for w in names]
+            tries = [[dict(zip(("place", "k", "gram", "less"), t)) for t in m[1]] for m in made]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((names, [m[0] for m in made], tries), kinds)],
+                                             names=kinds.names)
+
+    tried = written(words.mapInArrow(run, out), "language-unseen")
+    grams = model.gram_table.select("k", F.col("name").alias("gram"), "scores")
+    longest = tried.select("name", F.explode("tries").alias("t")).select("name", "t.*").join(grams, ["k", "gram"]) \
+        .groupBy("name", "place").agg(F.max_by(F.struct("scores", "less"), "k").alias("m"))
+    more = longest.groupBy("name").agg(F.array(*[F.sum(F.col("m.scores")[i] - F.col("m.less")[i]) for i in width]).alias("more"))
+    return tried.join(more, "name", "left").select("name", _plus("base", "more").alias("scores"))
 
 
 def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns and a struct ``__found``: lang_pred and score. Only the text is read."""
-    sent, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    if not model.langs:
+        return spans.per_text(docs, lambda texts: [["und"] * len(texts), [0.0] * len(texts)], "lang_pred string, score double", keep, text=text)
+    sent, name = docs.sparkSession.sparkContext.broadcast(Scorer(model)), uuid.uuid4().hex
 
-    def run(texts: spans.Text) -> list:
-        made = spans.per_process("predictors")
+    def scorer() -> Scorer:
+        made = spans.per_process("scorers")
         if made.get("name") != name:
-            made.update(name=name, it=Predictor(sent.value))
-        rows = [made["it"].predict(t) for t in texts.strings()]
-        return [[r[0] for r in rows], [r[1] for r in rows]]
+            made.update(name=name, it=sent.value)
+        return made["it"]
 
-    return spans.per_text(docs, run, "lang_pred string, score double", keep, text=text)
+    def run(texts: spans.Text) -> list:
+        rows = [scorer().score(t) for t in texts.strings()]
+        return [[r[0] for r in rows], [r[1] for r in rows], [[{"name": w, "n": n} for w, n in r[2].items()] for r in rows]]
+
+    first = spans.per_text(docs, run, "total array<long>, letters boolean, rest array<struct<name: string, n: long>>", keep, "__first", text)
+    first = written(first.withColumn("__row", F.monotonically_increasing_id()), "language-documents")
+    rest = first.select("__row", F.explode("__first.rest").alias("w")).select("__row", "w.name", "w.n")
+    asked = written(rest.select("name").distinct().join(model.word_table.select("name", "scores"), "name", "left"), "language-asked")
+    scored = asked.where("scores IS NOT NULL").unionByName(_unseen(asked.where("scores IS NULL").select("name"), model, scorer))
+    sums = rest.join(scored, "name").groupBy("__row").agg(
+        F.array(*[F.sum(F.col("n") * F.col("scores")[i]) for i in range(len(model.langs))]).alias("__more"))
+    done = first.join(sums, "__row", "left").withColumn("__total", F.col("__first.total"))
+    done = done.withColumn("__total", _plus("__total", "__more")).withColumn("__best", F.array_max("__total"))
+    best = F.element_at(F.array(*map(F.lit, model.langs)), F.array_position("__total", F.col("__best")).cast("int"))
+    odds = F.aggregate("__total", F.lit(0.0), lambda acc, x: acc + F.exp((x - F.col("__best")) / 1e6))
+    letters = F.col("__first.letters")
+    return done.select(*keep, F.struct(F.when(letters, best).otherwise("und").alias("lang_pred"),
+                                       F.when(letters, 1 / odds).otherwise(0.0).alias("score")).alias("__found"))

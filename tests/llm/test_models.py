@@ -54,6 +54,30 @@ def test_language_scores_follow_the_definition(spark):
     assert {r[1]["lang_pred"] for r in language_id.predict(asked, nothing).collect()} == {"und"}
 
 
+def rare_words(n, c):
+    """Words that each stand once in the corpus."""
+    return ["".join(c + "abdefg"[i // 6**p % 6] for p in range(7)) for i in range(n)]
+
+
+def test_every_learnt_word_is_known(spark, monkeypatch):
+    rare = rare_words(25_000, "o")
+    rows = [(i, " ".join(["bal"] * 50 + rare[i::10])) for i in range(10)] + [(100 + i, " ".join(["bal", "dor"] * 30)) for i in range(10)]
+    docs = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") < 100, "aa").otherwise("bb"))
+    model = language_id.fit(docs)
+    assert set(rare) <= set(model.words)
+    asked = frame(spark, awkward() + [(900 + i, f"{w} dor unlearnt{w[:5]}") for i, w in enumerate(rare[::5000])] + [(950, "dor dor " + rare[7])] * 2)
+    answers = []
+    for hot in (language_id.HOT, 5, 0):  # what is sent to the tasks has no influence
+        monkeypatch.setattr(language_id, "HOT", hot)
+        got = language_id.predict(asked, model, keep=["text"]).collect()
+        assert len(got) == asked.count()
+        answers.append(sorted((str(r["text"]), *r["__found"]) for r in got))
+        for r in got:
+            lang, score = brute_language(model, r["text"])
+            assert r["__found"]["lang_pred"] == lang and abs(r["__found"]["score"] - score) < 1e-9
+    assert answers[0] == answers[1] == answers[2]
+
+
 def test_quality_classifier_on_documents_left_out(spark):
     good = [(i, " ".join(words(i, 80, 60))) for i in range(150)]
     junk = [(200 + i, " ".join(w + "###" for w in words(i, 80, 60))) for i in range(150)]
