@@ -23,7 +23,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Sequence
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -162,14 +162,28 @@ def learns(key: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 != 1, F.lit(False))
 
 
+def _most(counts: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` names of each language and order with the highest counts, ties by a hash, then by name.
+
+    Whole levels are taken as long as they fit; only the border level goes on, by hash cells, and its border cell by name.
+    """
+    by, taken, border = ["lang", "k"], [], counts.withColumn("room", F.lit(limit).cast("long"))
+    for rank in (-F.col("n"), F.shiftrightunsigned(F.xxhash64("name"), 48)):
+        border = border.withColumn("at", rank)
+        level = border.groupBy(*by, "at", "room").agg(F.count(F.lit(1)).alias("names"))
+        above = F.sum("names").over(Window.partitionBy(*by).orderBy("at")) - F.col("names")
+        level = level.withColumn("room", F.col("room") - above).where("room > 0")
+        met = border.drop("room").join(checked_broadcast(written(level, "count-levels")), [*by, "at"])
+        taken.append(met.where("names <= room").select(counts.columns))
+        border = met.where("names > room").select(*counts.columns, "room")
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy("name"))
+    return reduce(DataFrame.union, taken, border.where("room > 0").withColumn("nth", nth).where("nth <= room").select(counts.columns))
+
+
 def _known(counts: DataFrame, langs: Sequence[str], limit: int | None) -> DataFrame:
     """k, name, n and scores of the names counted: log frequencies smoothed by one for each name."""
     if limit is not None:
-        # the counts that at most ``limit`` names reach, from how many names have each count
-        ranked = Window.partitionBy("lang", "k").orderBy(F.desc("n"))
-        level = counts.groupBy("lang", "k", "n").agg(F.count(F.lit(1)).alias("names")).withColumn("above", F.sum("names").over(ranked))
-        least = level.where(F.col("above") <= limit).groupBy("lang", "k").agg(F.min("n").alias("least"))
-        counts = counts.join(checked_broadcast(written(least, "least-counts")), ["lang", "k"]).where("n >= least")
+        counts = _most(counts, limit)
     each = [F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)) for name in langs]
     known = written(counts.groupBy("k", "name").agg(F.sum("n").alias("n"), F.array(*each).cast("array<long>").alias("counts")), "language-names")
     sums = {r[0]: r[2:] for r in known.groupBy("k").agg(F.count(F.lit(1)), *[

@@ -78,6 +78,14 @@ def test_every_learnt_word_is_known(spark, monkeypatch):
     assert answers[0] == answers[1] == answers[2]
 
 
+def test_limits_of_known_words_are_filled(spark):
+    often, once = rare_words(3, "i"), rare_words(30, "u")
+    docs = frame(spark, [(1, " ".join(often * 2 + once)), (2, " ".join(once))]).withColumn("lang", F.when(F.col("doc_id") == 1, "aa").otherwise("bb"))
+    model = language_id.fit(docs.where("doc_id = 1"), n_words=7)
+    assert len(model.words) == 7 and set(often) <= set(model.words)
+    assert len(language_id.fit(docs.where("doc_id = 2"), n_words=7).words) == 7  # one level above the limit
+
+
 def test_quality_classifier_on_documents_left_out(spark):
     good = [(i, " ".join(words(i, 80, 60))) for i in range(150)]
     junk = [(200 + i, " ".join(w + "###" for w in words(i, 80, 60))) for i in range(150)]
