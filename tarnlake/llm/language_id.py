@@ -183,7 +183,9 @@ def _most(counts: DataFrame, limit: int) -> DataFrame:
 def _known(counts: DataFrame, langs: Sequence[str], limit: int | None) -> DataFrame:
     """k, name, n and scores of the names counted: log frequencies smoothed by one for each name."""
     if limit is not None:
-        counts = _most(counts, limit)
+        # a name known through one language has its true count in each
+        names = written(_most(counts, limit).select("k", "name").distinct(), "known-names")
+        counts = counts.join(names, ["k", "name"], "left_semi")
     each = [F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)) for name in langs]
     known = written(counts.groupBy("k", "name").agg(F.sum("n").alias("n"), F.array(*each).cast("array<long>").alias("counts")), "language-names")
     sums = {r[0]: r[2:] for r in known.groupBy("k").agg(F.count(F.lit(1)), *[

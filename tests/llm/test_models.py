@@ -86,6 +86,14 @@ def test_limits_of_known_words_are_filled(spark):
     assert len(language_id.fit(docs.where("doc_id = 2"), n_words=7).words) == 7  # one level above the limit
 
 
+def test_known_words_have_the_counts_of_every_language(spark):
+    rows = [(1, "aa", "bal bal bal dor"), (2, "bb", "mip mip mip bal bal")]
+    docs = frame(spark, [(i, text) for i, _, text in rows]).withColumn("lang", F.when(F.col("doc_id") == 1, "aa").otherwise("bb"))
+    model = language_id.fit(docs, n_words=1)
+    assert set(model.words) == {"bal", "mip"}
+    assert model.words["bal"].tolist() == [round(1e6 * np.log(4 / 5)), round(1e6 * np.log(3 / 7))]
+
+
 def test_quality_classifier_on_documents_left_out(spark):
     good = [(i, " ".join(words(i, 80, 60))) for i in range(150)]
     junk = [(200 + i, " ".join(w + "###" for w in words(i, 80, 60))) for i in range(150)]
