@@ -3,7 +3,8 @@
 Each block of documents is a shard: its word positions are sorted into a suffix array, and every suffix of the
 test items is binary-searched in it. A position can match only if its first words begin some test suffix, so
 the others are left out of the array. Suffixes are compared by 64-bit word hashes, 13 words deep, which is as
-long as a window is; longer verbatim matches are chains of windows at consecutive positions of item and text.
+long as a window is; longer verbatim matches are chains of windows at consecutive positions of item and text, at
+all offsets of a window in its item. A match inside a longer one of the same item is not listed.
 
 An item's windows are its runs of 13 words, or all its words if it has fewer. A document word inside an
 occurrence of a window is hit. Test items are taken in blocks of bounded size, each passed over all documents
@@ -31,6 +32,9 @@ ITEM_BLOCK = 32 << 20
 FIELDS = ("n_words long, hits array<struct<start: long, length: long>>, items array<string>, "
           "matches array<struct<item: string, start: long, item_start: long, length: long>>")
 
+#: Pairs of text and item positions chained at once.
+PAIRS = 1 << 20
+
 _WIDTH = 8 * WINDOW
 _BITS = 20
 
@@ -75,13 +79,15 @@ class TestIndex:
         self.length = length[one]
         at = first[:-1][item[one]] + offset[one]
         self.high = _suffixes(hashed, at, self.length, 2**64 - 1)
-        # for each window, the items that hold it and where first
+        # for each window, the items that hold it and where
         order = np.lexsort((offset, item, window))
         w, i, o = window[order], item[order], offset[order]
         new = np.ones(len(w), bool)
         new[1:] = (w[1:] != w[:-1]) | (i[1:] != i[:-1])
-        self.item, self.offset = i[new], o[new]
-        self.holders = np.searchsorted(w[new], np.arange(len(self.low) + 1))
+        self.item, self.holders = i[new], np.searchsorted(w[new], np.arange(len(self.low) + 1))
+        # offsets of each holder, ascending as holder * span + offset
+        self.span = int(o.max(initial=0)) + 2
+        self.places = (np.cumsum(new) - 1) * self.span + o
         self.heads = []
         for g in (1, 2, 3):
             mine = np.flatnonzero(np.minimum(self.length, 3) == g)
@@ -119,6 +125,44 @@ def _lists(rows: np.ndarray, n_rows: int, columns: dict[str, pa.Array | np.ndarr
                                                                    names=list(columns)))
 
 
+def _longest(index: TestIndex, q: np.ndarray, holder: np.ndarray, size: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Text position, item, offset and length of the chains along item and text that no other of the item contains.
+
+    All offsets of a window count. Chains lie on diagonals, which are taken in ranges of about PAIRS pairs.
+    """
+    base, parts = holder * index.span, []
+
+    def upto(offset):
+        return np.searchsorted(index.places, base + np.clip(offset, 0, index.span - 1))
+
+    pairs = int((upto(np.full(len(q), index.span)) - upto(np.zeros(len(q), np.int64))).sum())
+    low, high = -index.span, int(q.max(initial=0)) + 1
+    cuts = np.unique(np.linspace(low, high, max(1, -(-pairs // PAIRS)) + 1).astype(np.int64))
+    for d, end in zip(cuts[:-1], cuts[1:]):  # d <= q - offset < end
+        lo = upto(q - end + 1)
+        n = upto(q - d + 1) - lo
+        place = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at, h, length = np.repeat(q, n), np.repeat(holder, n), np.repeat(size, n)
+        item, offset = index.item[h], index.places[place] - h * index.span
+        order = np.lexsort((at, at - offset, item, row[at]))
+        at, item, offset, length = at[order], item[order], offset[order], length[order]
+        r = row[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (at[1:] != at[:-1] + 1) | (offset[1:] != offset[:-1] + 1)
+        head = np.flatnonzero(new)
+        parts.append((at[head], item[head], offset[head], np.diff(np.append(head, len(at))) + length[head] - 1))
+    at, item, offset, length = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((offset, -length, at, item, row[at]))
+    at, item, offset, length = at[order], item[order], offset[order], length[order]
+    r = row[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1])
+    far = at + length + np.cumsum(new) * (len(row) + 1)  # furthest end so far in the item
+    keep = new.copy()
+    keep[1:] |= far[1:] > np.maximum.accumulate(far)[:-1]
+    return at[keep], item[keep], offset[keep], length[keep]
+
+
 def _found(texts: spans.Text, index: TestIndex) -> list:
     parts = []
     for _, _, data, at in texts.blocks():
@@ -130,23 +174,20 @@ def _found(texts: spans.Text, index: TestIndex) -> list:
         np.add.at(cover, p + index.length[window], -1)
         start, end = spans.runs(np.cumsum(cover[:-1]) > 0, first)
         hits = _lists(row[start], n_rows, {"start": start - first[row[start]], "length": end - start})
-        # every (position, item) once for each window, then chains along item and text
+        # every (position, item) once for each window
         n = np.diff(index.holders)[window]
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         holder = np.repeat(index.holders[window], n) + nth
-        q, item, offset = np.repeat(p, n), index.item[holder], index.offset[holder]
-        size = np.repeat(index.length[window], n)
+        q, size = np.repeat(p, n), np.repeat(index.length[window], n)
+        item, listed_row = index.item[holder], row[q]
+        order = np.lexsort((item, listed_row))
+        listed_item, listed_row = item[order], listed_row[order]
+        q, item, offset, length = _longest(index, q, holder, size, row)
         r = row[q]
-        order = np.lexsort((q, q - offset, item, r))
-        q, item, offset, size, r = q[order], item[order], offset[order], size[order], r[order]
-        new = np.ones(len(q), bool)
-        new[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (q[1:] != q[:-1] + 1) | (offset[1:] != offset[:-1] + 1)
-        head = np.flatnonzero(new)
-        chain = np.diff(np.append(head, len(q)))
-        q, item, offset, size, r = q[head], item[head], offset[head], size[head], r[head]
         names = pa.array(index.ids, pa.string())
         matches = _lists(r, n_rows, {"item": names.take(pa.array(item)), "start": q - first[r], "item_start": offset,
-                                     "length": chain + size - 1})
+                                     "length": length})
+        r, item = listed_row, listed_item
         once = np.ones(len(r), bool)
         once[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1])
         once &= ~names.is_null().to_numpy(zero_copy_only=False)[item] if len(item) else once

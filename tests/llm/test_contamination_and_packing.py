@@ -65,6 +65,18 @@ def test_contamination_equals_plain_python(spark):
     assert decontaminate.contamination(empty(spark), bench).count() == 0
 
 
+def test_matches_of_items_that_repeat_a_window(spark, monkeypatch):
+    a, b, c = words(90, 15), words(91, 20), words(92, 20)
+    item = a + b + a + c
+    docs = frame(spark, [(1, " ".join(["x", *b[-5:], *a, *c[:9]])), (2, " ".join(["y"] * 40))])
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(["y"] * 20))], "item_id long, text string")
+    for pairs in (decontaminate.PAIRS, 7):  # all diagonals at once, and few at a time
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        got = {r[0]: [tuple(m) for m in r[1]["matches"]] for r in decontaminate.contamination(docs, bench).collect()}
+        assert got[1] == [("7", 1, 30, 29)]
+        assert got[2] == [("8", p, 0, 20) for p in range(21)]
+
+
 def test_pieces_of_every_document(spark, sf):
     encode = queries.tokenizer_json()
     from tokenizers import Tokenizer
