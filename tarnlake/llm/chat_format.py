@@ -16,7 +16,7 @@ in (turn, place, piece) order, joined by newlines, are the rendered conversation
 
 Defined results: a null or empty text is one empty line; a null turn comes first; ties of turn are ordered by text,
 then repeated rows stay side by side; null ids form one conversation; a null role teaches nothing. Without any known
-role the role is null and every record begins a turn. Empty tables give empty results. Other columns are not read.
+role the role is null and every record begins a turn; more than ``ROLES`` known roles raise an error. Empty tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +34,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from . import spans  # noqa: F401  (also sees to it that this package's functions travel by value)
 from .tables import written
 
-CHUNK, ROLES = 2000, 8
+CHUNK = 2000
+#: Known roles that the model takes at most; more are refused.
+ROLES = 32
 #: Speaker markers and the kinds they are told apart by.
 MARKERS = {"user": 1, "human": 1, "customer": 1, "question": 1, "q": 1,
            "assistant": 2, "ai": 2, "bot": 2, "agent": 2, "answer": 2, "a": 2, "system": 3, "instructions": 3}
@@ -137,10 +139,11 @@ class Hmm:
 
 
 def fit(chunks: DataFrame, learns: Column, n_roles: int = ROLES) -> Hmm:
-    """The model of the chunks that ``learns`` holds for. Counts cover all their records."""
+    """The model of the chunks that ``learns`` holds for. Counts cover all their records, and all their roles."""
     known = chunks.where(learns)
-    names = known.select(F.explode("roles").alias("role")).where("role IS NOT NULL").groupBy("role").count() \
-        .orderBy(F.desc("count"), "role").limit(n_roles).collect()
+    names = known.select(F.explode("roles").alias("role")).where("role IS NOT NULL").distinct().limit(n_roles + 1).collect()
+    if len(names) > n_roles:
+        raise ValueError(f"more than {n_roles} known roles; map them to fewer")
     roles = sorted(r[0] for r in names)
     s, width = 2 * len(roles), 2 * len(roles) + int(_AT[-1])
     number = {r: 2 * k for k, r in enumerate(roles)}

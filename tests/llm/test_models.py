@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tarnlake.llm import chat_format, language_id, quality_classifier, queries
@@ -175,3 +176,11 @@ def test_awkward_transcripts(spark):
 def test_markers_are_taken_off():
     made = list(chat_format.pieces(["User:  hello\nthere", "[Assistant]: yes"], [0, 1, 2], ["user", "assistant"]))
     assert [(p[2], p[3], p[4]) for p in made] == [("user", True, "hello\nthere"), ("assistant", True, "yes")]
+
+
+def test_every_known_role_is_learnt(spark):
+    rows = [(c, t, f"role{(c + t) % 12}", "some words.") for c in range(24) for t in range(2)]
+    chunks = chat_format._chunks(chat(spark, rows).select(F.col("conv_id").alias("conv"), "turn", "role", "text"), 100)
+    assert chat_format.fit(chunks, F.lit(True)).roles == sorted(f"role{k}" for k in range(12))
+    with pytest.raises(ValueError, match="known roles"):
+        chat_format.fit(chunks, F.lit(True), n_roles=11)
