@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import spans
-from .tables import BROADCAST_KEYS, checked_broadcast, written
+from .tables import checked_broadcast, written
 
 MIN_WORDS = 8
 _SEEDS = [np.uint64(s) for s in (0, 0xA24BAED4963EE407)]
@@ -123,7 +123,7 @@ def _near(every: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
                    .select("h", "h2", "first", F.monotonically_increasing_id().alias("no")), "line-candidates")
     places = some.select("first.*").groupBy("__key", "__th").agg(F.collect_list("line").alias("wanted"))
     where = docs.join(
-        checked_broadcast(places.withColumnsRenamed({"__key": "k", "__th": "t"}), 500_000),
+        checked_broadcast(places.withColumnsRenamed({"__key": "k", "__th": "t"})),
         F.col("__key").eqNullSafe(F.col("k")) & (F.col("__th") == F.col("t"))).select("__key", "__th", "text", "wanted")
     kept = T.StructType([docs.schema["__key"], *T.StructType.fromDDL(
         "__th long, line int, words array<string>, v array<long>, v2 array<long>")])
@@ -186,9 +186,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
         & (F.col("line") == F.col("first.line"))
     gone = every.drop("halves").join(twice, ["h", "h2"]).where(F.coalesce("near", F.lit(False)) | ~is_first) \
         .groupBy(F.col("__key").alias("__k"), F.col("__th").alias("__t")).agg(F.collect_set("line").alias("__gone"))
-    gone = written(gone, "removed-lines")
-    if gone.agg(F.coalesce(F.sum(F.size("__gone") + 4), F.lit(0))).first()[0] <= BROADCAST_KEYS:
-        gone = F.broadcast(gone)  # known to be small; else texts and numbers of lines meet by a shuffle
+    gone = checked_broadcast(written(gone, "removed-lines"))
     joined = placed.join(gone, F.col("__key").eqNullSafe(F.col("__k")) & (F.col("__th") == F.col("__t")), "left")
     out = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(
         "__found struct<n_lines: long, n_removed: long, has_words: boolean, had_words: boolean>")])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, token_counts, training_order
+from . import chat_format, decontaminate, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, ranked_search, token_counts, training_order
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,26 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chat_format.parse(read(spark, sf_dir, "conversations"), learns=language_id.learns("conv"))
     return found.select(F.col("conv").alias("conv_id"), "turn", "place", F.col("piece").cast("long").alias("piece"),
                         F.col("role").alias("role_pred"), "begins", "rendered")
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build(read(spark, sf_dir, "documents"))
+    found = ranked_search.search(index, read(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", F.col("found").alias("doc_id"), "score")
+
+
+ORACLES["op13_ranked_search"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {d} AS w FROM documents),
+st AS (SELECT count(*) AS n_docs, cast(sum(len(w)) AS bigint) AS n_all FROM d WHERE len(w) > 0),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+f AS (SELECT t, cast(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS bigint) AS wt FROM p, st GROUP BY t),
+b AS (SELECT row_number() OVER () AS i, item_id, {d} AS w FROM benchmark),
+q AS (SELECT i, t, count(*) AS k FROM (SELECT i, unnest(w) AS t FROM b) GROUP BY i, t),
+m AS (SELECT r, doc_id, 25 + (75 * len(w) * n_docs) // n_all AS m FROM d, st WHERE len(w) > 0),
+s AS (SELECT i, r, cast(sum(k * wt * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS bigint) AS score
+      FROM q JOIN f USING (t) JOIN p USING (t) JOIN m USING (r) GROUP BY i, r),
+o AS (SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+      FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, cast(rank AS int) AS rank, doc_id, score FROM o JOIN b USING (i) WHERE rank <= 10
+""".format(d=_WORDS.format(text="text", word=r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).strip()

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnlake.sources.scratch import new_path
 
-#: Keys in a side that may be broadcast: 2 million longs are 16 MB.
-BROADCAST_KEYS = 2_000_000
+#: Bytes of a side that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 #: Rows of a batch between Spark and Python; whole texts are long, and the default of 10,000 is meant for short rows.
@@ -31,12 +32,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """``df`` with a broadcast hint if a count proves it small; otherwise Spark shuffles both sides.
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes that a row takes in memory: 8 for each number, the length of each string or binary, all of an array."""
+    def of(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+        if isinstance(kind, T.StructType):
+            return sum((of(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)):
+                return F.coalesce(F.aggregate(value, F.lit(16).cast("long"), lambda n, x: n + of(x, kind.elementType)), F.lit(0))
+            return F.coalesce(F.size(value), F.lit(0)) * 8 + 16
+        return F.lit(8)
 
-    The result of the join is the same; give a written or cheap ``df``, for it is counted first.
+    return sum((of(df[f"`{f.name}`"], f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
+
+
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if the sum of its rows' bytes proves it small; otherwise Spark shuffles both sides.
+
+    The result of the join is the same; give a written or cheap ``df``, for it is measured first.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
 
 
 def with_flag(df: DataFrame, ids: DataFrame, key: str, flag: str) -> DataFrame:
