@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, ranked_search, token_counts, training_order
+from . import (chat_format, conversation_repair, decontaminate, language_id, line_dedup, ngram_join, packing, quality_classifier,
+               quality_rules, ranked_search, token_counts, training_order)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +196,29 @@ o AS (SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score
       FROM s JOIN m USING (r) WHERE score > 0)
 SELECT item_id, cast(rank AS int) AS rank, doc_id, score FROM o JOIN b USING (i) WHERE rank <= 10
 """.format(d=_WORDS.format(text="text", word=r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).strip()
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given to the user, by a hash of conversation and turn."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", blank("conv_id"), blank("turn")).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", blank("role").alias("role"), blank("text").alias("text"), kind.alias("kind")).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("kind") == 3, 2).otherwise(1)
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(1), times)).alias("copy")) \
+        .drop("copy")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of every conversation of the damaged table, the audit of its edits and a digest of the repaired turns."""
+    turns = read(spark, sf_dir, "conversations")
+    edits, report = conversation_repair.repair(damaged(turns))
+    texts = conversation_repair.digests(edits).withColumnRenamed("conv", "c")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = turns.select("conv_id").distinct().join(report, F.col("conv_id").eqNullSafe(F.col("conv")), "left") \
+        .join(texts, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    return found.select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
