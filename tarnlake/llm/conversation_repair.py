@@ -327,8 +327,14 @@ def _edits(chunks: DataFrame, folded: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            done = []
             for row in zip(*[x.to_pylist() for x in batch.columns]):
-                yield _batch(rows(*row), schema)
+                done += rows(*row)
+                if len(done) >= CHUNK:
+                    yield _batch(done, schema)
+                    done = []
+            if done:
+                yield _batch(done, schema)
 
     return both.mapInArrow(run, out)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, conversation_repair, decontaminate, language_id, line_dedup, ngram_join, packing, quality_classifier,
+from . import (bottom_k, chat_format, conversation_repair, decontaminate, language_id, line_dedup, ngram_join, packing, quality_classifier,
                quality_rules, ranked_search, token_counts, training_order)
 from .tables import read
 
@@ -175,6 +175,15 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("role").alias("role_pred"), "begins", "rendered")
 
 
+@query
+def op11_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_bottom_k"] = ("SELECT *, doc_id = component_id AS kept FROM (" + ORACLES["op1_ngram_join"].replace(
+    "100 * k >= 80 * ", "100 * k >= 85 * ") + ")")
+
+
 @query
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranked_search.build(read(spark, sf_dir, "documents"))
