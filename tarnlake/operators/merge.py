@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .digests import BUCKETS, keys_only_in
 from .keys import all_set, as_keys, others, require_columns
 
 ACTIVE = "is_active"
@@ -87,37 +88,51 @@ def with_active_flag(df: DataFrame) -> DataFrame:
     return df if ACTIVE in df.columns else df.withColumn(ACTIVE, F.lit(True))
 
 
-def deleted_keys(target: DataFrame, source_keys: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Keys that are active in the target but gone from the source. A key with a null is not a key."""
+def _same_types(target: DataFrame, source_keys: DataFrame, keys: list[str]) -> DataFrame:
+    """The source's keys in the target's types, so that equal keys hash alike."""
+    return source_keys.select(*[F.col(k).cast(target.schema[k].dataType).alias(k) for k in keys])
+
+
+def deleted_keys(target: DataFrame, source_keys: DataFrame, keys: str | Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Keys that are active in the target but gone from the source. A key with a null is not a key.
+
+    Digests of key buckets tell where the two differ; only there keys are compared one by one.
+    """
     keys = as_keys(keys)
-    active = with_active_flag(target).where(F.col(ACTIVE) & all_set(keys)).select(*keys)
-    return active.join(source_keys.where(all_set(keys)).select(*keys), keys, "left_anti")
+    active = with_active_flag(target).where(F.col(ACTIVE)).select(*keys)
+    return keys_only_in(active, _same_types(target, source_keys, keys), keys, buckets)
+
+
+def deleted_marks(target: DataFrame, gone: DataFrame, keys: list[str], deleted_at: Column, stamp: str) -> DataFrame:
+    """``target`` with the active rows of the keys ``gone`` marked as inactive and stamped."""
+    marks = gone.select(*keys).distinct().withColumn("__gone", F.lit(True))
+    hit = F.col(ACTIVE) & F.col("__gone").isNotNull()
+    changed = {ACTIVE: F.when(hit, F.lit(False)).otherwise(F.col(ACTIVE))}
+    if stamp in target.columns:
+        changed[stamp] = F.when(hit, deleted_at.cast(target.schema[stamp].dataType)).otherwise(F.col(stamp))
+    return _left_join(target, marks, keys).withColumns(changed).select(target.columns)
 
 
 def soft_delete(target: DataFrame, source_keys: DataFrame, keys: str | Sequence[str],
                 deleted_at: Column | datetime | None = None, stamp: str = "_ingested_at",
-                allow_empty_source: bool = False) -> DataFrame:
+                allow_empty_source: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """Mark active rows whose key left the source as inactive and stamp the time.
 
-    A source without one complete key would mark every row; unless that is allowed, the plan raises.
+    The keys that left are found by bucket digests; the table then meets these alone, so a sync that deletes little
+    moves little. A source without one complete key would mark every row; unless that is allowed, the plan raises.
     """
     keys = as_keys(keys)
     target = with_active_flag(target)
-    present = source_keys.where(all_set(keys)).select(*keys).distinct().withColumn("__seen", F.lit(True))
-    gone = F.col(ACTIVE) & F.col("__seen").isNull() & all_set(keys)
+    gone = deleted_keys(target, source_keys, keys, buckets)
     if not allow_empty_source:
         n_keys = source_keys.where(all_set(keys)).limit(1).agg(F.count(F.lit(1))).scalar()
         refused = F.raise_error("the source key set is empty; pass allow_empty_source=True to delete every row")
-        gone = F.when(n_keys == 0, refused.cast("boolean")).otherwise(gone)
-    changed = {ACTIVE: F.when(gone, F.lit(False)).otherwise(F.col(ACTIVE))}
-    if stamp in target.columns:
-        if deleted_at is None:
-            deleted_at = F.current_timestamp()
-        elif not isinstance(deleted_at, Column):
-            deleted_at = F.lit(deleted_at)
-        changed[stamp] = F.when(gone, deleted_at.cast(target.schema[stamp].dataType)).otherwise(F.col(stamp))
-    joined = _left_join(target, present, keys)
-    return joined.withColumns(changed).select(target.columns)
+        target = target.where(F.when(n_keys == 0, refused.cast("boolean")).otherwise(F.lit(True)))
+    if deleted_at is None:
+        deleted_at = F.current_timestamp()
+    elif not isinstance(deleted_at, Column):
+        deleted_at = F.lit(deleted_at)
+    return deleted_marks(target, gone, keys, deleted_at, stamp)
 
 
 def register_jobs(registry: DataFrame, jobs: DataFrame, at: Column) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Catalog tables: create, append with schema merge, merge by new snapshot."""
+"""Catalog tables: create, append with schema merge, merge of touched buckets or by new snapshot."""
 
 from __future__ import annotations
 
@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import upsert
+from .buckets import BUCKET, BucketedTable
 from .files import read_parquet
 
 
 @dataclass(frozen=True)
 class TableTarget:
-    """Where a table lives: catalog name, storage root and merge key."""
+    """Where a table lives: catalog name, storage root, merge key, and buckets that its merges replace (0: none)."""
 
     name: str
     root: str
     keys: tuple[str, ...] = ()
+    buckets: int = 0
 
     @property
     def kind(self) -> str:
@@ -67,13 +69,45 @@ def replace_table(df: DataFrame, name: str, path: str) -> None:
         swap_snapshot(df, name, path)
 
 
+def _register(spark: SparkSession, name: str, path: str) -> None:
+    """A catalog table over a folder of buckets."""
+    if "." in name:
+        ensure_schema(spark, name.rsplit(".", 1)[0])
+    spark.catalog.createTable(name, path=path, source="parquet")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def read_table(spark: SparkSession, target: TableTarget) -> DataFrame:
+    """The table without the column of its layout."""
+    return spark.table(target.name).drop(BUCKET)
+
+
+def _write_buckets(df: DataFrame, target: TableTarget) -> str:
+    """Create a table of buckets, or replace the buckets that ``df`` has keys in."""
+    spark = df.sparkSession
+    files = BucketedTable(f"{target.root}/{target.name}/buckets", target.keys, target.buckets)
+    if not spark.catalog.tableExists(target.name):
+        files.create(df)
+        _register(spark, target.name, files.path)
+        return "create"
+    files.merge(df)
+    spark.sql(f"ALTER TABLE {target.name} RECOVER PARTITIONS")  # buckets that had no rows before
+    spark.catalog.refreshTable(target.name)
+    return "merge"
+
+
 def write_table(df: DataFrame, target: TableTarget, version: str) -> str:
     """Load by table kind: create when absent, staging appends, clean merges on the key.
 
     Any other existing table with a key is merged as well; without one the load is refused,
-    so that no run ends without writing.  Returns the mode used.
+    so that no run ends without writing. A table with buckets is merged in place, the buckets of the batch only; one
+    without gets a new snapshot. Returns the mode used.
     """
     spark = df.sparkSession
+    if target.buckets and target.kind != "staging":
+        if not target.keys:
+            raise ValueError(f"{target.name} has buckets and no merge key")
+        return _write_buckets(df, target)
     path = f"{target.root}/{target.name}/{version}"
     if create_if_absent(df, target.name, path):
         return "create"

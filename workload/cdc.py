@@ -13,6 +13,7 @@ from tarnlake.plans import incremental_run
 from tarnlake.plans.incremental_run import Lake
 from tarnlake.plans.silver import SilverTable, silver_step
 from tarnlake.operators.cleaning import drop_incomplete
+from tarnlake.sources.buckets import BucketedTable
 from tarnlake.sources.scratch import new_path
 from tarnlake.streaming.staging import load_new, read_new_files
 
@@ -189,6 +190,19 @@ def cdc_upsert_composite(spark, sf_dir):
     return merge.upsert(old, new, keys)
 
 
+@query("cdc_bucket_merge", f"""
+with {TARGET} select {ORDER} from (select * from tgt where o_orderkey not in (select o_orderkey from src)
+  union all select * from src) orders""")
+def cdc_bucket_merge(spark, sf_dir):
+    """The upsert into a table of buckets, in two batches: of large orders, then of the rest."""
+    t = BucketedTable(new_path(spark, "orders-buckets"), ("o_orderkey",), 32)
+    t.create(_target(spark, sf_dir))
+    source = _source(spark, sf_dir)
+    t.merge(source.where("o_totalprice > 400000"))
+    t.merge(source.where("not coalesce(o_totalprice > 400000, false)"))
+    return t.read(spark)
+
+
 # The source lost its low-priority orders.
 REMAINING = "o_orderpriority <> '5-LOW'"
 
@@ -214,6 +228,23 @@ def cdc_soft_delete(spark, sf_dir):
     return merge.soft_delete(target, o.where(REMAINING), "o_orderkey", _at(NOW))
 
 
+@query("cdc_bucket_soft_delete", f"""
+with gone as (select max(o_orderkey) k from orders where o_orderstatus <> 'F')
+select {ORDER}, o_orderkey <> k and o_orderstatus <> 'F' is_active,
+  case when o_orderkey = k then '{NOW}.000000' else '2024-01-01 00:00:00.000000' end _ingested_at, 1::bigint replaced
+from orders, gone""")
+def cdc_bucket_soft_delete(spark, sf_dir):
+    """The source lost one order: its bucket alone is compared key by key and replaced."""
+    target = _dated(_orders(spark, sf_dir)).withColumns({"is_active": F.col("o_orderstatus") != "F",
+                                                         "_ingested_at": _at("2024-01-01 00:00:00")})
+    t = BucketedTable(new_path(spark, "orders-buckets"), ("o_orderkey",), 32)
+    t.create(target)
+    active = _orders(spark, sf_dir).where("o_orderstatus <> 'F'").select("o_orderkey")
+    top = active.agg(F.max("o_orderkey")).scalar()
+    replaced = t.soft_delete(active.where(F.col("o_orderkey") != top), _at(NOW))
+    return t.read(spark).withColumn("replaced", F.lit(len(replaced)))
+
+
 @query("cdc_add_active_flag", f"select {ORDER}, true is_active from orders")
 def cdc_add_active_flag(spark, sf_dir):
     return merge.with_active_flag(_dated(_orders(spark, sf_dir)))

@@ -86,13 +86,13 @@ def io_load_modes(spark, sf_dir):
     late = o.where("o_orderdate >= date'2000-01-01'").withColumn("o_orderstatus", F.lit("X"))
     root = new_path(spark, "modes")
     stg = tables.TableTarget(_name("stg_orders_", root), root)
-    clean = tables.TableTarget(_name("clean_orders_", root), root, ("o_orderkey",))
+    clean = tables.TableTarget(_name("clean_orders_", root), root, ("o_orderkey",), buckets=16)
     tables.write_table(o, stg, "v1")
     tables.write_table(late.withColumn("source_file", F.lit("late")), stg, "v2")
     tables.write_table(o, clean, "v1")
     tables.write_table(late, clean, "v2")
     return spark.table(stg.name).withColumn("kind", F.lit("staging")).unionByName(
-        spark.table(clean.name).withColumn("kind", F.lit("clean")), allowMissingColumns=True)
+        tables.read_table(spark, clean).withColumn("kind", F.lit("clean")), allowMissingColumns=True)
 
 
 @query("io_output_profile", f"""
