@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles, value_counts_by
+from .quantiles import exact_quantiles
 from .skew import skew_join
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -28,15 +28,19 @@ def output_profile(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max; one row per numeric column."""
+    """count, mean, sample std, min, quartiles and max; one row per numeric column.
+
+    One pass over the wide rows gives all but the quartiles, which are selected for all columns at once.
+    """
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column_name", "value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    quart = exact_quantiles(long, "value", QUARTILES, ["column_name"])
-    basic = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    return basic.join(quart, "column_name").select(
+    v = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max}
+    wide = df.select(*[v[c].alias(c) for c in cols]).agg(*[f(F.col(c)).alias(f"{c}.{k}") for c in cols for k, f in stats.items()])
+    basic = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}.{k}`").alias(k) for k in stats])
+                                            for c in cols])).alias("s")).select("s.*").where(F.col("count") > 0)
+    long = df.select(*[v[c].alias(c) for c in cols]).unpivot([], cols, "column_name", "value")
+    quart = exact_quantiles(long, "value", QUARTILES, ["column_name"], few_groups=True)
+    return F.broadcast(basic).join(quart, "column_name").select(
         "column_name", "count", "mean", "std", "min",
         F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
@@ -90,14 +94,16 @@ def stack(table: DataFrame, rows: str, name: str, value: str = "value") -> DataF
 
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Quartiles, 1.5 IQR whisker ends and outlier count per group."""
+    """Quartiles, 1.5 IQR whisker ends and outlier count per group; a null group is one."""
+    v = F.col(value).cast("double")
     quart = exact_quantiles(df, value, QUARTILES, [by]).select(
-        by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+        F.struct(by).alias("__g"), "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(F.struct(by).alias("__g"), v.alias("__v"))
     x, reach = F.col("__v"), 1.5 * (F.col("q3") - F.col("q1"))
     within = x.between(F.col("q1") - reach, F.col("q3") + reach)
-    rows = skew_join(value_counts_by(df, value, [by]), quart, by)
-    return rows.groupBy(by).agg(
+    # a group is joined in as many parts as its share of the rows fills
+    return skew_join(rows, quart, "__g").groupBy("__g").agg(
         F.max("n").alias("n"), F.max("q1").alias("q1"), F.max("median").alias("median"),
         F.max("q3").alias("q3"),
         F.min(F.when(within, x)).alias("whisker_low"), F.max(F.when(within, x)).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~within, F.col("__c"))), F.lit(0)).alias("outliers"))
+        F.count_if(~within).alias("outliers")).select(F.col("__g")[by].alias(by), "n", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_space, drop_emoji, strip_markup, terms, words
+from ..sources.scratch import written
 from .skew import skew_join
 
 # Noun suffixes and their replacements, tried in this order.
@@ -57,6 +58,19 @@ def _detached(word: Column) -> Column:
     return F.filter(F.array(*forms), lambda f: f.isNotNull())
 
 
+def _shortened(word: Column, most: int) -> Column:
+    """A word cut by its rules until it is hardly longer than ``most``; longer forms are in no dictionary of such words.
+
+    Only "s" and "ses" leave a form that another rule fits, so one form is carried along, whatever the word's length.
+    """
+    def cut(form: Column) -> Column:
+        left = F.length(form) - F.when(form.endswith("ses"), 2).otherwise(1)
+        return F.when((F.length(form) > most) & form.endswith("s"), F.substr(form, F.lit(1), left)).otherwise(form)
+
+    steps = F.sequence(F.lit(1), F.greatest(F.length(word) - most, F.lit(1)))
+    return F.when((F.length(word) > most) & word.endswith("s"), F.aggregate(steps, word, lambda form, _: cut(form))).otherwise(word)
+
+
 def lemma_table(vocabulary: DataFrame, dictionary: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """Rows (word, lemma) for the words whose lemma differs from the word.
 
@@ -64,27 +78,25 @@ def lemma_table(vocabulary: DataFrame, dictionary: DataFrame, exceptions: DataFr
     shortest wins.  Forms are detached again while none is found, until no suffix fits.
     ``exceptions`` has rows (word, lemma) for irregular words and comes before the rules.
     Unknown words are left out, so they stay as they are.
+
+    A frontier of unresolved (word, form) pairs is joined with the dictionary, one level of detaching a pass; each pass is
+    a written table. Words leave it when a form is found or no suffix fits, and words longer than any in the
+    dictionary enter it shortened, so there are fewer passes than letters in the longest dictionary word.
     """
+    known = written(dictionary.select(F.col("word").alias("form")).where("form IS NOT NULL").distinct(), "dictionary")
+    longest = known.agg(F.coalesce(F.max(F.length("form")), F.lit(0))).first()[0]
     w = F.col("word")
-
-    def tag(forms: Column, level: Column) -> Column:
-        return F.transform(forms, lambda f, i: F.struct(
-            level.alias("level"), F.length(f).alias("len"), (i + 1).alias("ord"), f.alias("form")))
-
-    # every rule but one shortens the form, so there are fewer levels than letters
-    own = F.array(F.struct(F.lit(0).alias("level"), F.length(w).alias("len"), F.lit(0).alias("ord"), w.alias("form")))
-    start = F.struct(F.array(w).alias("forms"), own.alias("all"))
-
-    def deeper(acc: Column, level: Column) -> Column:
-        forms = F.flatten(F.transform(acc["forms"], _detached))
-        return F.struct(forms.alias("forms"), F.concat(acc["all"], tag(forms, level)).alias("all"))
-
-    tagged = F.aggregate(F.sequence(F.lit(1), F.length(w) + 1), start, deeper, lambda acc: acc["all"])
-    distinct = vocabulary.select("word").where(w.isNotNull()).distinct()
-    candidates = distinct.select("word", F.explode_outer(tagged).alias("c")).select("word", "c.*")
-    known = dictionary.select(F.col("word").alias("form")).distinct()
-    found = candidates.join(known, "form").groupBy("word").agg(
-        F.min_by("form", F.struct("level", "len", "ord")).alias("lemma"))
+    frontier = vocabulary.select("word").where(w.isNotNull()).distinct().select("word", _shortened(w, longest + 2).alias("form"))
+    found = None
+    frontier = written(frontier, "lemma-frontier")
+    while not frontier.isEmpty():
+        hits = frontier.join(known, "form").groupBy("word").agg(F.min_by("form", F.length("form")).alias("lemma"))
+        hits = written(hits, "lemmas-found")
+        found = hits if found is None else found.unionByName(hits)
+        # explode_outer: a plain explode would make Spark infer filters that make the forms again
+        nxt = frontier.join(hits.select("word"), "word", "left_anti").select("word", F.explode_outer(_detached(F.col("form"))).alias("form"))
+        frontier = written(nxt.where(F.col("form").isNotNull()).distinct(), "lemma-frontier")
+    found = vocabulary.select("word", F.lit(None).cast("string").alias("lemma")).limit(0) if found is None else found
     if exceptions is not None:
         irregular = exceptions.select("word", "lemma").groupBy("word").agg(F.min("lemma").alias("lemma"))
         found = found.join(irregular, "word", "left_anti").unionByName(irregular)

@@ -104,6 +104,12 @@ def test_lemmas_are_stripped_until_no_suffix_fits(spark):
     mk = lambda *ws: spark.createDataFrame([(w,) for w in ws], "word string")
     assert rows(textstats.lemma_table(mk("aseseseses", "xsssss", "s"), mk("as", "x"))) == [("aseseseses", "as"), ("xsssss", "x")]
     docs = spark.createDataFrame([(1, "cats"), (1, "cats"), (1, "cat")], "id int, t string")
+    long = {"s" * 30_000: None, "bas" + "s" * 30_000: "bas", "gla" + "ses" * 9_000: "glas", "kni" + "ves" * 2_000: None,
+            "ab" + "s" * 9: "abss", "boxes" + "s" * 200: "box", "womens": "woman"}
+    known = ["bas", "glas", "knif", "abss", "box", "woman"]
+    got = dict(map(tuple, textstats.lemma_table(mk(*long), mk(*known)).collect()))
+    assert got == {w: lemma for w, lemma in long.items() if lemma}
+    assert textstats.lemma_table(mk("cats"), mk("cat").limit(0)).count() == textstats.lemma_table(mk("cats").limit(0), mk("cat")).count() == 0
     assert rows(textstats.lemmatize(docs, "id", "t", textstats.lemma_table(mk("cats"), mk("cat")))) == [(1, "cat")] * 3
 
 

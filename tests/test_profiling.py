@@ -4,10 +4,11 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tarnlake.operators import evaluation as ev
 from tarnlake.operators import profiling as pr
-from tarnlake.operators.quantiles import exact_quantiles
+from tarnlake.operators.quantiles import exact_quantiles, with_image
 from tarnlake.operators.split import stratified_split
 
 from .conftest import rows
@@ -27,18 +28,50 @@ def test_quantiles_match_numpy(spark, data):
     assert close(exact_quantiles(df, "v", probs).first()["q"], np.quantile([v for _, v in data], probs))
 
 
-def test_quantiles_with_a_coarse_sketch_and_a_hot_group(spark):
-    """200,000 rows, most in one group, brackets of a sketch with accuracy 200."""
-    from pyspark.sql import functions as F
+def test_quantiles_with_a_hot_group(spark):
+    """200,000 rows, most in one group."""
     df = spark.range(200_000).select(
         F.when(F.col("id") % 10 < 8, "hot").otherwise("cold").alias("g"),
         (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 7).alias("v"))
     probs = [0.01, 0.25, 0.5, 0.9, 0.999]
     pdf = df.toPandas()
-    for r in exact_quantiles(df, "v", probs, ["g"], accuracy=200).collect():
+    for r in exact_quantiles(df, "v", probs, ["g"]).collect():
         assert close(r["q"], np.quantile(pdf[pdf.g == r["g"]].v, probs))
 
 
+AWKWARD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1e-310, -1e-310, 1.7976931348623157e308,
+           -1.7976931348623157e308, float("inf"), -float("inf"), 1.0, -1.0, 0.9999999999999999, 1.0000000000000002, 2.0, 1.9999999999999998,
+           8.0, 7.999999999999999, 1e300, -1e300, 3.141592653589793, 2.0**-1022, 2.0**1023, 2.0**52, 2.0**53, 0.1, 123456.789]
+
+
+def test_the_image_has_the_bits_and_the_order_of_the_double(spark):
+    import struct
+    some = np.random.default_rng(1).integers(0, 2**63, 500).astype(np.int64).view(np.float64).tolist()
+    values = AWKWARD + [x for x in some if x == x] + [-x for x in some if x == x]
+    got = with_image(spark.createDataFrame([(x,) for x in values], "v double"), "v", "i").collect()
+    for r in got:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["i"] == (-bits if r["v"] < 0 else bits), r
+
+
+def test_quantiles_of_awkward_values_and_null_groups(spark):
+    values = [x for x in AWKWARD if abs(x) < 1e300]
+    df = spark.createDataFrame([(g, x) for g in ("a", None) for x in values], "g string, v double")
+    probs = [0.0, 0.1, 0.3, 0.5, 0.77, 1.0]
+    got = exact_quantiles(df, "v", probs, ["g"]).collect()
+    assert {r["g"] for r in got} == {"a", None}
+    for r in got:
+        assert r["n"] == len(values) and close(r["q"], np.quantile(values, probs))
+    assert exact_quantiles(df.limit(0), "v", probs, ["g"]).count() == 0
+
+
+def test_describe_needs_few_exchanges(spark):
+    df = spark.range(5000).select((F.col("id") / 7).alias("a"), F.col("id").alias("b"))
+    plan = pr.describe(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert sum(line.lstrip("+- :").startswith("Exchange") for line in plan.split("\n")) <= 8
+    assert "percentile" not in plan and "approx" not in plan
+
+
 def test_quantiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "v double")
     r = exact_quantiles(df, "v", [0.5]).first()
