@@ -8,17 +8,17 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer,
                                 StringIndexer)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
+from ..sources.scratch import written
+from .grid_search import grid_scores, sparse_blocks
 
 # Vocabulary size, the search grid and the parameters of the fixed fit.
 VOCABULARY = 15_000
@@ -90,43 +90,40 @@ def _named(features: PipelineModel, index, model) -> PipelineModel:
 
 def fit_sentiment(train: DataFrame, label: str = LABEL, text: str = TEXT, c: float = FIXED_C,
                   penalty: str = FIXED_PENALTY, vocabulary: int = VOCABULARY) -> Sentiment:
-    """Fit with given parameters. ``train`` holds cleaned text and a label."""
+    """Fit with given parameters. ``train`` holds cleaned text and a label.
+
+    Featured rows are written once and the fit reads that table, so the tasks of its many passes follow the table's
+    bytes and not the shuffle partitions that the rows came from.
+    """
     features, index, rows = _featured(train, label, text, vocabulary)
-    rows = rows.select(FEATURES, "label_index").persist()
-    try:
-        model = logistic(c, penalty, rows.count()).fit(rows)
-    finally:
-        rows.unpersist()
+    rows = written(rows.select(FEATURES, "label_index"), "featured-rows")
+    model = logistic(c, penalty, rows.count()).fit(rows)
     return Sentiment(_named(features, index, model), c, penalty)
 
 
 def fit_sentiment_cv(train: DataFrame, row_id: str, label: str = LABEL, text: str = TEXT,
                      cs: Sequence[float] = GRID_C, penalties: Sequence[str] = GRID_PENALTY, folds: int = FOLDS,
-                     vocabulary: int = VOCABULARY, parallelism: int = 4, max_iter: int = MAX_ITER) -> Sentiment:
+                     vocabulary: int = VOCABULARY, max_iter: int = MAX_ITER, tolerance: float = TOLERANCE) -> Sentiment:
     """Grid search on accuracy with folds assigned by a hash of the id, then one fit on all training rows.
 
-    Spark scales features inside the optimiser, so a weak l2 penalty on unscaled TF-IDF needs many
-    iterations; a fit ends at the tolerance, or at ``max_iter`` passes.
+    All grid points and folds are minimised together (``grid_search``); of equal scores the first grid point wins.
     """
     features, index, rows = _featured(train, label, text, vocabulary)
     fold = F.pmod(F.xxhash64(row_id), F.lit(folds)).cast("int")
-    rows = rows.select(FEATURES, "label_index", fold.alias("fold")).persist()
+    rows = written(rows.select(FEATURES, "label_index", fold.alias("fold")), "featured-rows")
+    per = {r["fold"]: r["n"] for r in rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    fold_rows = [per.get(k, 0) for k in range(folds)]
+    n = sum(fold_rows)
+    choices = [(c, p) for c in cs for p in penalties]
+    blocks = sparse_blocks(rows, FEATURES, "label_index", "fold").persist()
     try:
-        n = rows.count()
-        base = logistic(1.0, "l2", n, max_iter=max_iter)
-        per_fold = n * (folds - 1) / folds
-        choices = [(c, p) for c in cs for p in penalties]
-        grid = [ParamGridBuilder().baseOn(
-            (base.regParam, 1.0 / (c * per_fold)),
-            (base.elasticNetParam, 1.0 if p == "l1" else 0.0)).build()[0] for c, p in choices]
-        search = CrossValidator(
-            estimator=base, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", parallelism=parallelism,
-            evaluator=MulticlassClassificationEvaluator(labelCol="label_index", metricName="accuracy"))
-        scores = search.fit(rows).avgMetrics
-        best = max(range(len(choices)), key=lambda i: scores[i])
-        model = logistic(*choices[best], n, max_iter=max_iter).fit(rows)
+        width = len(features.stages[1].vocabulary)
+        regs = [(1.0 / (c * n * (folds - 1) / folds), p) for c, p in choices]
+        scores, _ = grid_scores(blocks, width, regs, fold_rows, tolerance=tolerance, max_iter=max_iter)
     finally:
-        rows.unpersist()
+        blocks.unpersist()
+    best = max(range(len(choices)), key=lambda i: scores[i])
+    model = logistic(*choices[best], n, max_iter=max_iter).fit(rows)
     return Sentiment(_named(features, index, model), *choices[best],
                      tuple((c, p, s) for (c, p), s in zip(choices, scores)))
 

@@ -6,15 +6,13 @@ import __spark_entry__ as entry_point
 from workload import ORACLES, QUERIES
 from workload.check import compare, database
 
-SLOW = {"ml_sentiment_cv", "ml_sentiment_fit", "ml_batch_score", "ml_model_roundtrip"}
-
 
 @pytest.fixture(scope="module")
 def con(sf):
     return database(sf)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sf, con, name):
     out = compare(spark, con, name, sf, QUERIES, ORACLES)
     assert out.startswith("ok" if name in ORACLES else "rows-only"), out

@@ -103,36 +103,49 @@ quota as (select label, base + case when row_number() over (order by rest desc,
 test as (select doc_id, label from (select doc_id, l.label, quota, row_number() over (
     partition by l.label order by md5(doc_id::varchar), doc_id) rn from l join quota on l.label = quota.label)
   where rn > quota and doc_id in (select doc_id from documents))"""
-SUPPORT = f"with {SPLIT} select label, count(*) support, true beats_majority from test group by label"
+SUPPORT = f"with {SPLIT} select label, count(*) support, true separates from test group by label"
 
 
-def _judged(scored):
-    """Test rows of each label, and whether accuracy reaches the share of the largest label."""
-    per = scored.groupBy("label").agg(F.count(F.lit(1)).alias("support"),
-                                      F.sum((F.col("prediction") == F.col("label")).cast("int")).alias("hit"))
-    every = Window.partitionBy()  # one row for each label
-    return per.select("label", "support", (F.sum("hit").over(every) >= F.max("support").over(every)).alias("beats_majority"))
+def _judged(model, train, test):
+    """Test rows of each label, and whether the model gives the labelled documents that are positive a higher mean
+    probability of being so than the others: a constant guess does not."""
+    every = train.withColumn("tested", F.lit(0)).unionByName(test.withColumn("tested", F.lit(1)))
+    scored = models.score(model, every)
+    positive = F.when(F.col("prediction") == "positive", F.col("probability")).otherwise(1 - F.col("probability"))
+    per = scored.groupBy("label").agg(F.sum("tested").alias("support"), F.avg(positive).alias("mean"))
+    all_labels = Window.partitionBy()  # one row for each label
+    mean = {k: F.max(F.when(F.col("label") == k, F.col("mean"))).over(all_labels) for k in ("positive", "negative")}
+    return per.select("label", "support", (mean["positive"] > mean["negative"]).alias("separates")).where("support > 0")
 
 
 @query("ml_sentiment_fit", SUPPORT)
 def ml_sentiment_fit(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    return _judged(models.score(models.fit_sentiment(train).model, test))
+    return _judged(models.fit_sentiment(train).model, train, test)
 
 
 @query("ml_sentiment_cv", SUPPORT)
 def ml_sentiment_cv(spark, sf_dir):
     """The whole grid on all training rows."""
     train, test = _train_test(spark, sf_dir)
-    return _judged(models.score(models.fit_sentiment_cv(train, "doc_id", parallelism=8).model, test))
+    return _judged(models.fit_sentiment_cv(train, "doc_id").model, train, test)
 
 
-@query("ml_batch_score", "select doc_id, true probable, true known_class from documents")
+@query("ml_batch_score", f"""
+with l as (select doc_id, {QUALITY} label from labels where doc_id in (select doc_id from documents))
+select label, count(*) labelled, (select count(*) from documents) scored, true more_sure_when_right from l group by label""")
 def ml_batch_score(spark, sf_dir):
+    """All documents scored; on the labelled ones the model is surer of its right guesses than of its wrong ones."""
     train, _ = _train_test(spark, sf_dir)
-    scored = models.score(models.fit_sentiment(train).model, _texts(spark, sf_dir))
-    return scored.select("doc_id", F.col("probability").between(0.5, 1).alias("probable"),
-                         F.col("prediction").isin("negative", "positive").alias("known_class"))
+    scored = models.score(models.fit_sentiment(train).model, _texts(spark, sf_dir)).select("doc_id", "prediction", "probability")
+    per = scored.join(_labels(spark, sf_dir), "doc_id", "left").withColumn("right", F.col("prediction") == F.col("label")).groupBy("label").agg(
+        F.count(F.lit(1)).alias("labelled"),
+        *[F.sum(F.when(F.col("right") == want, x)).alias(name) for want, kind in ((True, "right"), (False, "wrong"))
+          for name, x in ((f"{kind}_n", F.lit(1)), (f"{kind}_p", F.col("probability")))])
+    every = Window.partitionBy()  # one row for each label, and one for documents without
+    mean = {k: F.sum(f"{k}_p").over(every) / F.sum(f"{k}_n").over(every) for k in ("right", "wrong")}
+    return per.select("label", "labelled", F.sum("labelled").over(every).alias("scored"),
+                      (mean["right"] > F.coalesce(mean["wrong"], F.lit(0.0))).alias("more_sure_when_right")).where("label IS NOT NULL")
 
 
 @query("ml_model_roundtrip", f"with {SPLIT} select doc_id, true same from test")
@@ -162,14 +175,20 @@ def ml_kmeans(spark, sf_dir):
 
 
 @query("ml_rf_regression", """
-select count(*) - floor(count(*)::double * 0.75::double)::bigint support, true within_labels from embeddings""")
+with r as (select label, row_number() over (order by md5(vec_id::varchar), vec_id) rn,
+    floor(count(*) over ()::double * 0.75::double) wanted from embeddings),
+t as (select avg(label) as guess from r where rn <= wanted)
+select count(*) support, round(avg((label - guess) * (label - guess)), 6) mse_of_mean, true forest_is_close
+from r, t where rn > wanted""")
 def ml_rf_regression(spark, sf_dir):
-    """Trees average labels, so every guess lies between the smallest and the largest."""
+    """The labels do not follow from the vectors, so the forest cannot beat the mean of the training labels, but must stay
+    within a tenth of its squared error."""
     rows = table(spark, sf_dir, "embeddings").withColumn("one", F.lit("all"))
     split = stratified_split(rows, "one", "vec_id", 0.75)
     train = split.where("split = 'train'")
     model = models.forest(train, "embedding", "label")
-    guessed = models.predict_forest(model, split.where("split = 'test'"), "embedding")
-    low, high = (train.agg(f("label")).scalar() for f in (F.min, F.max))
-    return guessed.agg(F.count(F.lit(1)).alias("support"),
-                       F.every(F.col("prediction").between(low - 1e-9, high + 1e-9)).alias("within_labels"))
+    guessed = models.predict_forest(model, split.where("split = 'test'"), "embedding").withColumn("guess", train.agg(F.avg("label")).scalar())
+    forest = ev.mean_squared_error(guessed, "label", "prediction").select("mse").withColumn("one", F.lit(1))
+    mean = ev.mean_squared_error(guessed, "label", "guess").select("support", F.col("mse").alias("mse_of_mean"), F.lit(1).alias("one"))
+    return mean.join(forest, "one").select("support", F.round("mse_of_mean", 6).alias("mse_of_mean"),
+                                           (F.col("mse") <= 1.1 * F.col("mse_of_mean")).alias("forest_is_close"))
