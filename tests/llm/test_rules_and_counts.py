@@ -61,8 +61,9 @@ def test_n_gram_counts_are_whole(spark):
 
 def greedy(pieces, word):
     at = n = 0
+    longest = max(map(len, pieces))
     while at < len(word):
-        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in pieces), None)
         if end is None:
             return -1
         at, n = end, n + 1
