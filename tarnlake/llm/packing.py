@@ -163,7 +163,7 @@ def pack(docs: DataFrame, definition: str, keep: Sequence[str] = ("doc_id",), te
         held = 0
         for batch in batches:
             texts = spans.Text(batch.column(0))
-            for lo, hi in turns(np.diff(texts.at).tolist(), 8 * spans.BLOCK):
+            for lo, hi in turns(np.diff(texts.at).tolist(), 2 * spans.BLOCK):
                 new = [x.tobytes() + end for x in encode(texts.rows(lo, hi))]
                 ids += new
                 held += sum(map(len, new)) // 4
@@ -177,6 +177,6 @@ def pack(docs: DataFrame, definition: str, keep: Sequence[str] = ("doc_id",), te
         if ids:
             made, _ = flush(ids, [pa.concat_arrays(p) for p in parts], carried, True)
             yield made
-        pa.default_memory_pool().release_unused()
+        spans.release()
 
     return docs.select(F.col(text).alias("__text"), *[F.col(f.name) for f in kept]).mapInArrow(run, out)

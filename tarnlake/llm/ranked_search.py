@@ -160,7 +160,7 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard: int =
                     made, held, size = made + 1, [], 0
         if held:
             yield from rows()
-        pa.default_memory_pool().release_unused()
+        spans.release()
 
     return written(docs.select(F.col(key), F.col(text)).mapInArrow(run, out), "search-index")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -33,6 +34,15 @@ def per_process(name: str) -> dict:
     return store.__dict__.setdefault(name, {})
 
 
+def release() -> None:
+    """Gives freed memory back to the system; the process may serve other tasks for long."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

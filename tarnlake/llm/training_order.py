@@ -4,9 +4,10 @@ Documents are tokenised, joined with an end token and cut into sequences of ``se
 reads them; the last sequence of a task is filled up with the end token. Sequences get dense numbers from the
 counts of the tasks. A Feistel network over the smallest even number of bits that holds all numbers, walked on
 while it leaves the range, permutes them: slot s of the training order holds exactly one sequence, and any slot
-can be computed alone from the key. Range partition k holds the slots from k * per_shard and writes them in
-order as one file of records of ``seq_len`` little-endian ids (16 or 32 bits, as the vocabulary needs) and one
-newline byte, so record r of a shard starts at r * stride and reading can go on at any slot.
+can be computed alone from the key. Shard k holds the slots from k * per_shard on, in order, as one file of records of
+``seq_len`` little-endian ids (16 or 32 bits, as the vocabulary needs) and one newline byte, so record r of a shard
+starts at r * stride and reading can go on at any slot. A task writes a range of consecutive shards one after the other:
+shards stay small, and tasks follow the bytes.
 
 Files are written by Spark's own text writer and committer to any file system Spark can write, so a lost executor
 leaves no half shard. Sequences wait as a table, compressed one by one, between tokenising and the shuffle.
@@ -35,6 +36,8 @@ from .tables import checked_broadcast
 from .wordpieces import encoder, turns
 
 SEQ_LEN, PER_SHARD, END_ID, ROUNDS = 2048, 1024, 1, 6
+#: Bytes of ids that a writing task takes, where that needs more tasks than shuffles have partitions.
+TASK_BYTES = 1 << 30
 
 
 # ---- the permutation --------------------------------------------------------------------------------------
@@ -85,7 +88,7 @@ def sequences(docs: DataFrame, definition: str, key: str = "doc_id", text: str =
         rest, owner = np.zeros(0, f"<u{width}"), None  # ids not yet in a full sequence, and whose the first is
         for batch in batches:
             texts = spans.Text(batch.column(1))
-            for lo, hi in turns(np.diff(texts.at).tolist(), 8 * spans.BLOCK):
+            for lo, hi in turns(np.diff(texts.at).tolist(), 2 * spans.BLOCK):
                 docs_ids = [x.astype(f"<u{width}") for x in encode(texts.rows(lo, hi))]
                 size = np.array([len(rest), *[len(x) + 1 for x in docs_ids]])
                 ids = np.concatenate([rest, *[y for x in docs_ids for y in (x, end)]])
@@ -102,6 +105,7 @@ def sequences(docs: DataFrame, definition: str, key: str = "doc_id", text: str =
             full = np.concatenate([rest, np.full(seq_len - len(rest), end_id, f"<u{width}")])
             yield _rows(task, local, pa.array([owner], _arrow_type(id_type)), [len(rest)],
                         [codec.compress(full.tobytes()).to_pybytes()], out)
+        spans.release()
 
     return docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).mapInArrow(run, out)
 
@@ -148,13 +152,19 @@ class Shards:
 
 
 def materialise(docs: DataFrame, definition: str, key: int, path: str | None = None, id_column: str = "doc_id",
-                text: str = "text", seq_len: int = SEQ_LEN, per_shard: int = PER_SHARD) -> tuple[Shards, DataFrame]:
-    """Write the shards; also returns the manifest: slot, shard, byte_offset, first_key, n_tokens."""
+                text: str = "text", seq_len: int = SEQ_LEN, per_shard: int = PER_SHARD, tasks: int | None = None
+                ) -> tuple[Shards, DataFrame]:
+    """Write the shards; also returns the manifest: slot, shard, byte_offset, first_key, n_tokens.
+
+    ``tasks`` write ranges of consecutive shards each: by default as many as shuffles have partitions, or more, so that
+    none takes over TASK_BYTES.
+    """
     spark = docs.sparkSession
     width, path = id_width(definition), path or new_path(spark, "shards")
     made = sequences(docs, definition, id_column, text, seq_len)
     held = new_path(spark, "sequences")
-    made.write.option("compression", "uncompressed").parquet(held)  # the ids are compressed already
+    # the ids are compressed already; small row groups keep little in memory
+    made.write.option("compression", "uncompressed").option("parquet.block.size", 16 << 20).parquet(held)
     made = spark.read.schema(made.schema).parquet(held)
     # one number for each task that read documents
     counts = sorted(tuple(r) for r in made.groupBy("task").count().collect())
@@ -168,12 +178,17 @@ def materialise(docs: DataFrame, definition: str, key: int, path: str | None = N
         def unpack(batches):
             size = seq_len * width
             for batch in batches:
-                yield pa.RecordBatch.from_arrays([pa.array([pa.decompress(x, size, "zstd").to_pybytes() for x in
-                                                            batch.column(0).to_pylist()], pa.binary())], names=["ids"])
-
-        ordered = placed.select("slot", "packed").repartitionById(shards.count, shard).sortWithinPartitions("slot")
-        ordered.select("packed").mapInArrow(unpack, "ids binary") \
-            .select(F.col("ids").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+                ids = pa.array([pa.decompress(x, size, "zstd").to_pybytes() for x in batch.column(1).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["shard", "ids"])
+            spans.release()
+
+        tasks = tasks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * shards.stride // TASK_BYTES))
+        tasks = min(tasks, shards.count)
+        ranges = F.expr(f"CAST(slot DIV {per_shard * -(-shards.count // tasks)} AS INT)")
+        ordered = placed.select("slot", "packed").repartitionById(tasks, ranges).withColumn("shard", shard) \
+            .sortWithinPartitions("shard", "slot")
+        ordered.select("shard", "packed").mapInArrow(unpack, "shard int, ids binary") \
+            .select("shard", F.col("ids").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(path)
     manifest = placed.select("slot", shard.cast("long").alias("shard"),
                              F.expr(f"slot % {per_shard} * {shards.stride}L").alias("byte_offset"), "first_key",
                              F.col("n_tokens").cast("long").alias("n_tokens"))
@@ -186,10 +201,10 @@ def read_slots(spark: SparkSession, shards: Shards, start: int = 0, stop: int |
     if stop <= start:
         return spark.createDataFrame([], "slot long, ids binary")
     first, last = start // shards.per_shard, (stop - 1) // shards.per_shard
-    files = [f"{shards.path}/part-{k:05d}-*" for k in range(first, last + 1)]
+    files = [f"{shards.path}/shard={k}/part-*" for k in range(first, last + 1)]
     whole = first == 0 and last == shards.count - 1
-    content = spark.read.format("binaryFile").load(f"{shards.path}/part-*" if whole else files).select(
-        F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("long").alias("shard"), "content")
+    content = spark.read.format("binaryFile").load(f"{shards.path}/shard=*/part-*" if whole else files).select(
+        F.regexp_extract("path", r"shard=(\d+)/[^/]*$", 1).cast("long").alias("shard"), "content")
     size, stride, per_shard = shards.seq_len * shards.width, shards.stride, shards.per_shard
 
     def cut(batches):
@@ -203,5 +218,6 @@ def read_slots(spark: SparkSession, shards: Shards, start: int = 0, stop: int |
                         [pa.array([shard * per_shard + r for r in some], pa.int64()),
                          pa.array([raw.slice(r * stride, size).to_pybytes() for r in some], pa.binary())],
                         names=["slot", "ids"])
+        spans.release()
 
     return content.mapInArrow(cut, "slot long, ids binary").where(F.col("slot").between(start, stop - 1))

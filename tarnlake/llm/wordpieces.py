@@ -23,6 +23,8 @@ _WORD_END = "</w>"
 _SPACE = re.compile(r"\s")
 #: Words remembered, and characters taken at once.
 CACHE, SLICE = 80_000, 1 << 20
+#: Places of the encoder's table of words (a power of two), and the ids that they have room for.
+PLACES, KEPT_IDS = 1 << 19, 1 << 21
 
 
 def slices(text: str, size: int = SLICE) -> Iterator[str]:
@@ -146,9 +148,10 @@ def plain_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class Encoder:
     """Ids as ``tokenizers`` gives them without special tokens, as little-endian unsigned 32-bit numbers.
 
-    Texts are cut into the tokenizer's own words, whole batches at a time. Each distinct word, told by a 64-bit hash
-    of its bytes, is encoded once; new words are encoded together, and told apart by the word-end mark of their last
-    token. Texts with rare characters are encoded as they are.
+    Texts are cut into the tokenizer's own words, whole batches at a time. Words are told by a 64-bit hash of their bytes
+    and looked up in a table with one place for each value of the hash's low bits; words that are not there are encoded
+    together, told apart by the word-end mark of their last token, and take their places. A word that has lost its place
+    is encoded again, so the table's size changes no id. Texts with rare characters are encoded as they are.
     """
 
     def __init__(self, definition: str) -> None:
@@ -156,46 +159,58 @@ class Encoder:
         vocab = json.loads(definition)["model"]["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith(_WORD_END)]] = True
-        self.known: dict[int, bytes] = {}
-        self.old: dict[int, bytes] = {}
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        joined = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
-        ids = np.array(joined.ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(words):
-            return [self._whole(word) for word in words]
-        raw, ends = ids.tobytes(), (4 * cuts).tolist()
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+        self._forget()
+
+    def _forget(self) -> None:
+        """An empty table. No place holds a hash that belongs there: its low bits are another place's."""
+        self.hash = np.arange(PLACES, dtype=np.uint64) ^ np.uint64(1)
+        self.start, self.size = np.zeros(PLACES, np.int32), np.zeros(PLACES, np.int32)
+        self.ids, self.used = np.zeros(KEPT_IDS, "<u4"), 0
+
+    def _learn(self, text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of n words parted by spaces, and how many each has."""
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == n:
+            return ids, np.diff(ends, prepend=0)
+        each = [np.frombuffer(self._whole(word), "<u4") for word in text.split(" ")]
+        return np.concatenate(each), np.array([len(x) for x in each])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _pieces(self, hashes: list[int], word) -> list[bytes]:
-        """The ids of distinct words; ``word(i)`` is the i-th. Words not met for long are forgotten when there are many."""
-        if len(self.known) > CACHE:
-            self.old, self.known = self.known, {}
-        known, old = self.known, self.old
-        new = [i for i, h in enumerate(hashes) if h not in known]
-        for i in new:
-            if hashes[i] in old:
-                known[hashes[i]] = old[hashes[i]]
-        new = [i for i in new if hashes[i] not in known]
-        if new:
-            known.update(zip([hashes[i] for i in new], self._learn([word(i) for i in new])))
-        return [known[h] for h in hashes]
-
     def _block(self, data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
         low, starts, ends, other = plain_words(data, at)
+        if len(other):  # their words are not the tokenizer's
+            mine = np.ones(len(starts), bool)
+            for a, b in zip(np.searchsorted(starts, at[other]), np.searchsorted(starts, at[other + 1])):
+                mine[a:b] = False
+            starts, ends = starts[mine], ends[mine]
         hashed = spans.span_hash(low, starts, ends)
-        values, where, inverse = np.unique(hashed, return_index=True, return_inverse=True)
-        raw, a, b = low.tobytes(), starts[where].tolist(), ends[where].tolist()
-        pieces = self._pieces(values.tolist(), lambda i: raw[a[i]:b[i]].decode(errors="replace"))
-        flat = np.frombuffer(b"".join(pieces), "<u4")
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        n = size[inverse]
-        total = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat((np.cumsum(size) - size)[inverse] - total[:-1], n) + np.arange(total[-1])]
+        if self.used > KEPT_IDS // 2:
+            self._forget()
+        place = (hashed & np.uint64(PLACES - 1)).astype(np.int64)
+        first, n = self.start[place], self.size[place]
+        missing = np.flatnonzero(self.hash[place] != hashed)
+        if len(missing):
+            new, where, which = np.unique(hashed[missing], return_index=True, return_inverse=True)
+            where = missing[where]
+            length = ends[where] - starts[where] + 1
+            stop = np.cumsum(length)
+            joined = low[np.minimum(np.repeat(starts[where] - (stop - length), length) + np.arange(stop[-1]), len(low) - 1)]
+            joined[stop - 1] = 0x20
+            ids, size = self._learn(joined[:-1].tobytes().decode(), len(new))
+            if self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(len(ids), "<u4")])
+            self.ids[self.used:self.used + len(ids)] = ids
+            start = (self.used + np.cumsum(size) - size).astype(np.int32)
+            self.used += len(ids)
+            there = place[where]
+            self.hash[there] = new  # of two words for one place the later stays, in all three arrays
+            self.start[there], self.size[there] = start, size
+            first[missing], n[missing] = start[which], size[which]
+        total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        ids = self.ids[np.repeat(first - total[:-1], n) + np.arange(total[-1])]
         cuts = total[np.searchsorted(starts, at)].tolist()
         out = [ids[x:y] for x, y in zip(cuts, cuts[1:])]
         for r in other.tolist():

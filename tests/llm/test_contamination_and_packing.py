@@ -152,10 +152,27 @@ def test_shards_round_trip(spark):
         assert manifest[slot]["shard"] == slot // 100 and manifest[slot]["byte_offset"] == slot % 100 * shards.stride
     later = training_order.read_slots(spark, shards, 150, 333).collect()
     assert sorted(r["slot"] for r in later) == list(range(150, 333)) and all(r["ids"] == back[r["slot"]] for r in later)
-    raw = spark.read.format("binaryFile").load(f"{shards.path}/part-00001-*").first()["content"]
+    raw = spark.read.format("binaryFile").load(f"{shards.path}/shard=1/part-*").first()["content"]
     assert len(raw) == 100 * shards.stride and zlib.crc32(raw[:256]) == zlib.crc32(back[100])
 
 
 def test_no_sequences(spark):
     shards, manifest = training_order.materialise(empty(spark), queries.tokenizer_json(), key=1)
     assert shards.n == 0 and manifest.count() == 0 and training_order.read_slots(spark, shards).count() == 0
+
+
+def test_tasks_write_many_shards_and_slots_read_back(spark):
+    import os
+    definition = queries.tokenizer_json()
+    docs = frame(spark, awkward()).repartition(3)
+    found = {}
+    for tasks in (1, 3, 1000):
+        shards, manifest = training_order.materialise(docs.orderBy("doc_id", "text"), definition, key=9, seq_len=64, per_shard=37, tasks=tasks)
+        assert shards.count >= 20
+        files = [(d, n) for d, _, names in os.walk(shards.path) for n in names if n.startswith("part-")]
+        assert len(files) == shards.count and len({n.split("-")[1] for _, n in files}) <= tasks
+        found[tasks] = [(r.slot, bytes(r.ids)) for r in training_order.read_slots(spark, shards).orderBy("slot").collect()]
+        assert [s for s, _ in found[tasks]] == list(range(shards.n)) == sorted(r.slot for r in manifest.select("slot").collect())
+        some = training_order.read_slots(spark, shards, 70, 80).orderBy("slot").collect()
+        assert [(r.slot, bytes(r.ids)) for r in some] == found[tasks][70:80]
+    assert found[1] == found[3] == found[1000]
