@@ -43,10 +43,10 @@ class BucketedTable:
         part = F.pmod(F.xxhash64(F.lit(1), *[F.col(k) for k in self.keys]), F.lit(self.files))
         write_parquet(df.repartition(BUCKET, part), self.path, mode, [BUCKET])
 
-    def create(self, df: DataFrame) -> None:
-        """Write the whole table; the folder must not exist."""
+    def create(self, df: DataFrame, replace: bool = False) -> None:
+        """Write the whole table; the folder must not exist, unless its buckets are to be replaced."""
         require_columns(df, self.keys)
-        self._write(self.with_bucket(df), "errorifexists")
+        self._write(self.with_bucket(df), "overwrite" if replace else "errorifexists")
 
     def schema(self, spark: SparkSession) -> T.StructType:
         found = spark.read.parquet(self.path).schema

@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from tarnlake.plans import star
+from tarnlake.plans import star, star_tables
 
 from .conftest import rows
 
@@ -79,3 +79,42 @@ def test_active_only(spark, shop):
     flagged = t["customer"].withColumn("is_active", F.col("customer_id") == "c1")
     assert star.dim_customer(flagged, t["geo"]).count() == 2
     assert star.dim_customer(flagged, t["geo"], active_only=True).count() == 1
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_are_joined_without_an_exchange_on_the_order(spark, sf):
+    import re
+
+    from workload.star import _order_tables, _Star
+    s = _Star(spark, sf)
+    tables, _ = _order_tables(spark, s)
+    orders = tables.order.select("order_id").join(tables.item.select("order_id", "price"), "order_id").join(
+        tables.payment.select("order_id", "payment_value"), "order_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in _plan(orders)
+        for fan_out in (True, False):
+            fact = star_tables.bucketed_fact(tables, s.product, s.customer, s.seller, s.date, fan_out)
+            assert not re.search(r"Exchange hashpartitioning\(order_id", _plan(fact))
+            plain = (star.fact_table if fan_out else star.fact_table_clean)(*s.parts())
+            assert rows(fact) == rows(plain) and fact.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_months_are_pruned_by_the_calendar(spark, tmp_path):
+    from pyspark.sql import functions as F
+    fact = spark.range(3000).select(F.expr("cast(19980101 + (id % 12) * 100 + id % 28 as int)").alias("dateKey"), F.col("id").alias("order_id"),
+                                    F.lit("x").alias("v"))
+    star_tables.write_by_month(fact, str(tmp_path / "f"))
+    calendar = fact.select("dateKey").distinct().withColumn("month", F.expr("cast(dateKey div 100 % 100 as int)"))
+    some = star_tables.read_by_month(spark, str(tmp_path / "f"), calendar.where("month in (2, 5)"), ["dateKey", "order_id", "v"])
+    assert "dynamicpruning" in _plan(some)
+    assert rows(some) == rows(fact.where("cast(dateKey div 100 % 100 as int) in (2, 5)"))
+    opened = {r[0].split("month_key=")[1][:6] for r in some.select(F.input_file_name()).distinct().collect()}
+    assert opened == {"199802", "199805"}

@@ -15,6 +15,8 @@ from tarnlake.plans.silver import SilverTable, silver_step
 from tarnlake.operators.cleaning import drop_incomplete
 from tarnlake.sources.buckets import BucketedTable
 from tarnlake.sources.scratch import new_path
+from tarnlake.sources import rejects
+from tarnlake.streaming.merge import StreamMerge
 from tarnlake.streaming.staging import load_new, read_new_files
 
 from .proxies import ctes, proxy
@@ -334,6 +336,47 @@ def cdc_stream_staging(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query("cdc_stream_merge", f"""
+with latest as (select user_id, event_id, ts, event_type, value, row_number() over (partition by user_id
+  order by ts desc, event_id, event_type, value) rn from events where value > 5)
+select user_id, event_id, {stamp("ts")} ts, event_type, value, true is_active,
+  (select {stamp("max(ts)")} from events where value > 5) mark, false replay_merged
+from latest where rn = 1""")
+def cdc_stream_merge(spark, sf_dir):
+    """Files of events, a micro-batch each, merged as a stream; then the first batch comes again with other rows."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    root = new_path(spark, "stream-merge")
+    e.repartitionByRange(4, "ts").write.parquet(f"{root}/events")
+    merge_ = StreamMerge(BucketedTable(f"{root}/table", ("user_id",), 8), f"{root}/control", "event", "ts",
+                         lambda df: df, ["event_id", "event_type", "value"])
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events").where("value > 5")
+    merge_.run(stream, f"{root}/checkpoint", _at(NOW))
+    again = merge_.apply(e.withColumn("value", F.lit(-1.0)), 0, _at(NOW))
+    mark = merge_.done(spark)[1]
+    return merge_.table.read(spark).withColumns({"mark": F.lit(mark).cast("timestamp_ntz"), "replay_merged": F.lit(again)})
+
+
+@query("cdc_staging_rejects", f"""
+with bad as (select *, event_type = 'click' and value < 5 broken from events)
+select {EVENT}, null reason, null mark, count(*) filter (broken) over () n_rejects, count(*) filter (not broken) over () n_good
+  from bad events qualify not broken
+union all
+select {EVENT.replace(stamp('ts') + ' ts', 'null ts')}, 'ts is no timestamp', 'at ' || {stamp('ts')},
+  count(*) filter (broken) over () n_rejects, count(*) filter (not broken) over () n_good
+  from bad events qualify broken""")
+def cdc_staging_rejects(spark, sf_dir):
+    """Marks of cheap clicks are no timestamps: these rows are kept apart and counted, the others staged."""
+    e = table(spark, sf_dir, "events")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    broken = (F.col("event_type") == "click") & (F.col("value") < 5)
+    marked = e.withColumn("ts", F.when(broken, F.concat(F.lit("at "), text)).otherwise(text))
+    found = rejects.load_marks(marked, "ts", new_path(spark, "staged"))
+    good = found.good.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    bad = found.rejects.withColumns({"mark": F.col("ts"), "ts": F.lit(None).cast("string")}).withColumnRenamed(rejects.REASON, "reason")
+    return good.unionByName(bad, allowMissingColumns=True).withColumns(
+        {"n_rejects": F.lit(found.n_rejects), "n_good": F.lit(found.n_good)})
+
+
 LATEST = """select user_id, event_id, ts, event_type, value, row_number() over (partition by user_id
   order by ts desc, event_id, event_type, value) rn from events"""
 
@@ -372,16 +415,54 @@ STAGED = {"customer": "p_customer", "seller": "p_seller", "product": "p_product"
           "product_category": "p_category", "geolocation": "p_geolocation"}
 
 
+#: When a proxy's row was last changed, and a number that all its columns go into; both valid in Spark SQL and DuckDB.
+CHANGED = {"customer": "customer_zip_code_prefix % 30", "seller": "seller_zip_code_prefix % 30", "product": "product_photos_qty % 30",
+           "order": "length(order_status) + customer_id % 28", "order_item": "order_item_id * 4", "payment": "payment_sequential * 10",
+           "order_review": "review_score * 5", "product_category": "length(product_category_name) * 3", "geolocation": "geolocation_zip_code_prefix"}
+_LEN = "length(coalesce({}, ''))"
+_DAYS = "coalesce(datediff({0}, date '1990-01-01'), 0)"
+DIGEST = {
+    "customer": ["customer_id", "customer_zip_code_prefix", *map(_LEN.format, ("customer_unique_id", "customer_city", "customer_state"))],
+    "seller": ["seller_id", "seller_zip_code_prefix", *map(_LEN.format, ("seller_city", "seller_state"))],
+    "product": ["product_id", _LEN.format("product_category_name"), "product_name_length", "product_description_length", "product_photos_qty",
+                "coalesce(product_weight_g, 0)", "product_length_cm", "product_height_cm", "product_width_cm"],
+    "order": ["order_id", "customer_id", _LEN.format("order_status"), *map(_DAYS.format, (
+        "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
+        "order_estimated_delivery_date"))],
+    "order_item": ["order_id", "order_item_id", "product_id", "seller_id", _DAYS.format("shipping_limit_date"), "price", "freight_value"],
+    "payment": ["order_id", "payment_sequential", _LEN.format("payment_type"), "payment_installments", "payment_value"],
+    "order_review": ["review_id", "order_id", "review_score", *map(_LEN.format, ("review_comment_title", "review_comment_message")),
+                     _DAYS.format("review_creation_date")],
+    "product_category": [_LEN.format("product_category_name"), _LEN.format("product_category_name_english")],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", *map(_LEN.format, ("geolocation_city", "geolocation_state"))],
+}
+
+
+def _digest(name: str) -> str:
+    return "round(sum(cast(" + " + ".join(f"{i + 1} * ({e})" for i, e in enumerate(DIGEST[name])) + " as double)), 2)"
+
+
+def _sql_digest(name: str) -> str:
+    return _digest(name).replace("datediff(", "datediff('day', date '1990-01-01', ").replace(", date '1990-01-01'), 0)", "), 0)")
+
+
+def _changed(name: str) -> str:
+    return f"date '2024-01-01' + cast({CHANGED[name]} as int)"
+
+
 @query("cdc_stage_tables", f"with {ctes(*STAGED.values())} " + " union all ".join(
-    f"select '{name}' table_name, count(*) n_rows, 'run9' run, '{NOW}.000000' ingested_at from {proxy_name}"
+    f"select '{name}' table_name, count(*) n_rows, {_sql_digest(name)} digest, {stamp(f'max({_changed(name)})')} newest, 'run9' run, "
+    f"'{NOW}.000000' ingested_at from {proxy_name} where {_changed(name)} > timestamp '{CUT}'"
     for name, proxy_name in STAGED.items()))
 def cdc_stage_tables(spark, sf_dir):
-    """All nine source tables staged by the registry; none has the watermark column, so each is loaded in full."""
+    """All nine source tables, with a mark that some rows are newer than, staged by the registry; a digest of all their columns."""
     parts = []
     for name, proxy_name in STAGED.items():
-        staged = incremental_run.stage(name, proxy(spark, sf_dir, proxy_name), CUT, "run9", _at(NOW))
+        source = proxy(spark, sf_dir, proxy_name).withColumn("last_update", F.expr(_changed(name)).cast("timestamp_ntz"))
+        staged = incremental_run.stage(name, source, CUT, "run9", _at(NOW))
         parts.append(staged.groupBy(F.lit(name).alias("table_name"), F.col("_job_run_id").alias("run"),
-                                    F.col("_ingested_at").alias("ingested_at")).agg(F.count(F.lit(1)).alias("n_rows")))
+                                    F.col("_ingested_at").alias("ingested_at")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.expr(_digest(name)).alias("digest"), F.max("last_update").alias("newest")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnlake.operators.profiling import observed, output_profile
-from tarnlake.sources import files, tables
+from tarnlake.sources import files, rejects, tables
 from tarnlake.sources.scratch import new_path
 
 from .registry import day, query, stamp, table
@@ -44,6 +44,27 @@ def io_csv_load(spark, sf_dir):
     return files.read_csv(spark, path, o.schema)
 
 
+@query("io_csv_rejects", f"""
+with marked as (select *, o_orderstatus = 'P' and o_totalprice > 200000 broken from orders)
+select {ORDER}, null reason, count(*) filter (broken) over () n_rejects, count(*) filter (not broken) over () n_good
+  from marked orders qualify not broken
+union all
+select null, null, null, null, null, o_orderkey || ',' || o_custkey || ',P,unknown,' || {day('o_orderdate')} || ',' || o_orderpriority,
+  'line does not fit the schema', count(*) filter (broken) over (), count(*) filter (not broken) over () from marked qualify broken""")
+def io_csv_rejects(spark, sf_dir):
+    """A file whose large pending orders have no number as their price: these lines are kept apart with their text."""
+    o = _orders(spark, sf_dir)
+    broken = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 200000)
+    source = new_path(spark, "orders-csv")
+    price = F.when(broken, "unknown").otherwise(F.col("o_totalprice").cast("string"))
+    o.withColumn("o_totalprice", price).write.options(header=True, escape='"').csv(source)
+    found = rejects.load_csv(spark, source, o.schema, new_path(spark, "orders"))
+    # the text of a rejected line stands in the last column here
+    bad = found.rejects.select(F.col(rejects.CORRUPT).alias("o_orderpriority"), F.col(rejects.REASON).alias("reason"))
+    return found.good.unionByName(bad, allowMissingColumns=True).withColumns(
+        {"n_rejects": F.lit(found.n_rejects), "n_good": F.lit(found.n_good)})
+
+
 @query("io_table_scan", f"select {ORDER} from orders where o_orderstatus = 'F'")
 def io_table_scan(spark, sf_dir):
     path = new_path(spark, "scan")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tarnlake.plans import star
+from tarnlake.plans import star, star_tables
+from tarnlake.sources.scratch import new_path
 
 from .proxies import ctes, proxy
 from .registry import day, query
@@ -145,6 +146,32 @@ select * exclude (rn) from (select *, row_number() over (partition by order_id,
     payment_value, payment_installments, payment_sequential, order_status, payment_type) rn from wide)
 where rn = 1""")
 def mart_sales(spark, sf_dir):
+    """From the fact at its own grain: the repeats of the literal one are equal rows, of which the mart keeps one."""
     s = _Star(spark, sf_dir)
-    return star.sales_mart(star.fact_table(*s.parts()), s.order_dim, s.product, s.customer, s.seller, s.date,
+    return star.sales_mart(star.fact_table_clean(*s.parts()), s.order_dim, s.product, s.customer, s.seller, s.date,
                            counted=s.order)
+
+
+def _order_tables(spark, s: _Star) -> tuple[star_tables.OrderTables, str]:
+    root = new_path(spark, "order-tables")
+    made = star_tables.OrderTables.write("orders_" + root.rsplit("-", 1)[1], root, 8, item=s.item, order=s.order, payment=s.payment,
+                                         review=s.review, order_dim=s.order_dim)
+    return made, root
+
+
+@query("gold_fact_bucketed", f"with {DIMS}\n{FACT}")
+def gold_fact_bucketed(spark, sf_dir):
+    """The literal fact from tables bucketed by order."""
+    s = _Star(spark, sf_dir)
+    tables, _ = _order_tables(spark, s)
+    return star_tables.bucketed_fact(tables, s.product, s.customer, s.seller, s.date)
+
+
+@query("gold_fact_month", f"""with {DIMS}, fact as ({FACT_CLEAN})
+select * from fact where "dateKey" in (select "dateKey" from dim_date where "year" = 1998 and "quarter" = 2)""")
+def gold_fact_month(spark, sf_dir):
+    """The fact written by month, read through a filter on the calendar: only the months of the quarter are opened."""
+    s = _Star(spark, sf_dir)
+    path = new_path(spark, "fact-by-month")
+    star_tables.write_by_month(star.fact_table_clean(*s.parts()), path)
+    return star_tables.read_by_month(spark, path, s.date.where("year = 1998 and quarter = 2"))
