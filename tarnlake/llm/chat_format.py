@@ -11,7 +11,7 @@ small max-plus matrix. Scanning these matrices forwards and then backwards fixes
 each chunk is decoded alone between them, which gives the same path as one Viterbi run.
 
 Each run of lines of a record that belongs to one turn becomes a row: its role, whether it begins a turn, its lines
-without marker, and its canonical form, ``<|role|>`` on a line of its own before the text if it begins a turn. Rows
+without a marker of that role, and its canonical form, ``<|role|>`` on a line of its own before the text if it begins a turn. Rows
 in (turn, place, piece) order, joined by newlines, are the rendered conversation.
 
 Defined results: a null or empty text is one empty line; a null turn comes first; ties of turn are ordered by text,
@@ -245,6 +245,15 @@ def _borders(chunks: DataFrame, model: Hmm) -> DataFrame:
     return ahead.sortWithinPartitions("conv", F.desc("chunk")).mapInArrow(backwards, "chunk long, before int, last int")
 
 
+def without_marker(line: str, role: str | None) -> str:
+    """A turn's first line without its speaker marker, if that is a marker of the turn's role; another's is content."""
+    found = _MARKER.match(line)
+    name = (role or "").strip().lower()
+    if not found or MARKERS[found[1].lower()] != MARKERS.get(name):
+        return line
+    return line[found.end():]
+
+
 def pieces(texts: Sequence[str | None], states: Sequence[int], roles: Sequence[str]):
     """record, piece, role, whether it begins a turn, text and rendered form."""
     at = 0
@@ -256,9 +265,9 @@ def pieces(texts: Sequence[str | None], states: Sequence[int], roles: Sequence[s
         for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
             begins = k > 0 or of[a] % 2 == 0
             part = lines[a:b]
-            if begins:
-                part = [_MARKER.sub("", part[0], count=1) if _MARKER.match(part[0]) else part[0], *part[1:]]
             role = roles[of[a] // 2] if len(roles) else None
+            if begins:
+                part = [without_marker(part[0], role), *part[1:]]
             body = "\n".join(part)
             yield r, k, role, begins, body, f"<|{role or 'unknown'}|>\n{body}" if begins else body
 
