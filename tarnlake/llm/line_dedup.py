@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from . import spans
 from .tables import checked_broadcast, written
 
-MIN_WORDS = 8
+#: Shorter lines of different words often share all but one by chance (README has counts), and are compared for equality.
+MIN_WORDS = 5
 _SEEDS = [np.uint64(s) for s in (0, 0xA24BAED4963EE407)]
 _PLACE = ["__key", "__th", "line"]
 
@@ -181,7 +182,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     lines = written(every.groupBy("h", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.count(F.lit(1)).alias("n")),
                     "distinct-lines")
     near = _near(every, lines, placed.select("__key", "__th", F.col(text).alias("text"))).withColumn("near", F.lit(True))
-    twice = lines.join(near, ["h", "h2"], "left").where("n > 1 OR near")
+    # written, so that both sides of the join below are shuffled and a very common line can be split over tasks
+    twice = written(lines.join(near, ["h", "h2"], "left").where("n > 1 OR near"), "repeated-lines")
     is_first = F.col("__key").eqNullSafe(F.col("first.__key")) & (F.col("__th") == F.col("first.__th")) \
         & (F.col("line") == F.col("first.line"))
     gone = every.drop("halves").join(twice, ["h", "h2"]).where(F.coalesce("near", F.lit(False)) | ~is_first) \

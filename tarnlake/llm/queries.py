@@ -120,10 +120,10 @@ w AS (SELECT doc_id, line, t, {d} AS w FROM l),
 p AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS s FROM w WHERE len(w) > 0),
 u AS (SELECT s, any_value(w) AS w, min((doc_id, line)) AS first FROM p GROUP BY s),
 v AS (SELECT s, first, i, array_to_string(w[:i - 1] || w[i + 1:], ' ') AS k
-      FROM (SELECT s, w, first, unnest(range(1, len(w) + 1)) AS i FROM u WHERE len(w) >= 8)),
+      FROM (SELECT s, w, first, unnest(range(1, len(w) + 1)) AS i FROM u WHERE len(w) >= 5)),
 near AS (SELECT s FROM (SELECT s, first, min(first) OVER (PARTITION BY i, k) AS other FROM v) WHERE other < first
-         UNION SELECT v.s FROM v JOIN u ON v.k = u.s WHERE u.first < v.first AND len(u.w) >= 8
-         UNION SELECT u.s FROM v JOIN u ON v.k = u.s WHERE v.first < u.first AND len(u.w) >= 8),
+         UNION SELECT v.s FROM v JOIN u ON v.k = u.s WHERE u.first < v.first AND len(u.w) >= 5
+         UNION SELECT u.s FROM v JOIN u ON v.k = u.s WHERE v.first < u.first AND len(u.w) >= 5),
 gone AS (SELECT doc_id, line FROM p JOIN u USING (s) WHERE (doc_id, line) <> first OR s IN (SELECT s FROM near))
 SELECT l.doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
        md5(coalesce(string_agg(t, chr(10) ORDER BY l.line) FILTER (gone.line IS NULL), '')) AS text_md5
