@@ -7,8 +7,10 @@ long as a window is; longer verbatim matches are chains of windows at consecutiv
 all offsets of a window in its item. A match inside a longer one of the same item is not listed.
 
 An item's windows are its runs of 13 words, or all its words if it has fewer. A document word inside an
-occurrence of a window is hit. Test items are taken in blocks of bounded size, each passed over all documents
-in the same stage, so that what is sent to the tasks at a time is bounded for any benchmark.
+occurrence of a window is hit. Test items are taken in blocks of at most ``ITEM_BLOCK`` bytes or one item, each passed
+over all documents: the driver holds the texts of one block and sends them out, tasks index them, and a pass's result
+is written before the next block is fetched. So what the driver and a task hold is bounded for a benchmark of any size,
+which costs a pass over the documents for each block.
 
 Defined results: null or empty texts and texts without words have no words and no hits, null or wordless items
 no windows; items of the same id count once and items without an id mark words but are not listed; repeated
@@ -17,6 +19,7 @@ rows are judged apart; empty tables of documents or items give no rows and no hi
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -25,10 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
+from .tables import written
 
 WINDOW = 13
-#: Bytes of benchmark text indexed and sent to the tasks at a time.
-ITEM_BLOCK = 32 << 20
+#: Bytes of benchmark text sent to the tasks and indexed there at a time; the index takes about 40 times as much.
+ITEM_BLOCK = 2 << 20
 FIELDS = ("n_words long, hits array<struct<start: long, length: long>>, items array<string>, "
           "matches array<struct<item: string, start: long, item_start: long, length: long>>")
 
@@ -198,10 +202,34 @@ def _found(texts: spans.Text, index: TestIndex) -> list:
 
 
 def _item_blocks(items: DataFrame, text: str, block: int) -> list[DataFrame]:
-    size = items.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    n = max(1, -(-size // block))
-    part = F.pmod(F.xxhash64("__id", text), F.lit(n))
-    return [items.where(part == b) for b in range(n)]
+    """The items in blocks of at most about ``block`` bytes of text, a longer item being a block of its own.
+
+    Items are dealt by hash into many cells; neighbouring cells that are small enough together make a block. Only the
+    sizes of cells reach the driver, a few for each block.
+    """
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+    total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    n = 8 * max(1, -(-total // block))
+    cell = F.pmod(F.xxhash64("__id", text), F.lit(n))
+    if total <= block:
+        return [items]
+    blocks, held = [[]], 0
+    for k, bytes_ in sorted(tuple(r) for r in items.groupBy(cell.alias("cell")).agg(F.sum(size).alias("bytes")).collect()):
+        if blocks[-1] and held + bytes_ > block:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(k)
+        held += bytes_
+    return [items.where(cell.between(b[0], b[-1])) for b in blocks]
+
+
+def _index_of(sent, name: str) -> TestIndex:
+    """The index of the block that was sent out, made once in each process; an earlier block's is dropped."""
+    kept = spans.per_process("test-index")
+    if name not in kept:
+        kept.clear()
+        kept[name] = TestIndex(*sent.value)
+    return kept[name]
 
 
 def contamination(docs: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
@@ -215,12 +243,18 @@ def contamination(docs: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc
     items = items.select(F.col(item_id).cast("string").alias("__id"), F.col(item_text).alias("__item"))
     kept = [c for c in docs.columns if c in set(keep) | {text}]
     found, names = docs, []
-    for k, part in enumerate(_item_blocks(items, "__item", block)):
-        rows = part.collect()  # at most about ``block`` bytes of text
-        index = docs.sparkSession.sparkContext.broadcast(TestIndex([r[0] for r in rows], [r[1] for r in rows]))
-        found = spans.per_text(found, lambda t, index=index: _found(t, index.value), FIELDS, [*kept, *names],
+    blocks = _item_blocks(items, "__item", block)
+    for k, part in enumerate(blocks):
+        rows = part.collect()  # one block
+        sent = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
+        del rows
+        name = uuid.uuid4().hex
+        found = spans.per_text(found, lambda t, sent=sent, name=name: _found(t, _index_of(sent, name)), FIELDS, [*kept, *names],
                                f"__found{k}", text)
         names.append(f"__found{k}")
+        if len(blocks) > 1:
+            found = written(found, "contamination-pass")
+            sent.destroy()
 
     def joined(field: str):
         return F.flatten(F.array(*[F.col(f"{n}.{field}") for n in names]))

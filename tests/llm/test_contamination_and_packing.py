@@ -65,6 +65,17 @@ def test_contamination_equals_plain_python(spark):
     assert decontaminate.contamination(empty(spark), bench).count() == 0
 
 
+def test_items_are_fetched_in_bounded_blocks(spark):
+    r = __import__("random").Random(3)
+    items = [(i, " ".join(words(300 + i, r.randrange(0, 40)))) for i in range(60)] + [(60, " ".join(words(1, 3000))), (61, None)]
+    frame_ = spark.createDataFrame(items, "__id long, t string")
+    blocks = decontaminate._item_blocks(frame_, "t", 2000)
+    found = [[tuple(x) for x in b.collect()] for b in blocks]
+    assert sorted(x for b in found for x in b) == sorted(items, key=lambda x: x[0])
+    size = [sum(len(t or "") for _, t in b) for b in found]
+    assert len(blocks) > 5 and all(n <= 2000 for n, b in zip(size, found) if 60 not in dict(b))
+
+
 def test_matches_of_items_that_repeat_a_window(spark, monkeypatch):
     a, b, c = words(90, 15), words(91, 20), words(92, 20)
     item = a + b + a + c
