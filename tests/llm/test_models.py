@@ -173,6 +173,12 @@ def test_awkward_transcripts(spark):
     assert chat_format.parse(chat(spark, [])).count() == 0
 
 
+def test_only_a_marker_of_the_role_is_taken_off():
+    made = list(chat_format.pieces(["A: one of two", "Answer: 42 is right", "System: x", "tool: y"], [0, 2, 4, 6],
+                                   ["user", "assistant", "system", "tool"]))
+    assert [m[4] for m in made] == ["A: one of two", "42 is right", "x", "tool: y"]
+
+
 def test_markers_are_taken_off():
     made = list(chat_format.pieces(["User:  hello\nthere", "[Assistant]: yes"], [0, 1, 2], ["user", "assistant"]))
     assert [(p[2], p[3], p[4]) for p in made] == [("user", True, "hello\nthere"), ("assistant", True, "yes")]
