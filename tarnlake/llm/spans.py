@@ -85,11 +85,11 @@ class Text:
         raw = self.data.tobytes()
         return [raw[a:b].decode() for a, b in zip(self.at[:-1].tolist(), self.at[1:].tolist())]
 
-    def blocks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(first row, row after the last, bytes, offsets) of runs of rows of at most BLOCK bytes or one row."""
+    def blocks(self, most: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, row after the last, bytes, offsets) of runs of rows of at most ``most`` bytes or one row."""
         lo = 0
         while lo < len(self):
-            hi = max(lo + 1, int(np.searchsorted(self.at, self.at[lo] + BLOCK, "right")) - 1)
+            hi = max(lo + 1, int(np.searchsorted(self.at, self.at[lo] + most, "right")) - 1)
             yield lo, hi, self.data[self.at[lo]:self.at[hi]], self.at[lo:hi + 1] - self.at[lo]
             lo = hi
 

@@ -25,6 +25,8 @@ _SPACE = re.compile(r"\s")
 CACHE, SLICE = 80_000, 1 << 20
 #: Places of the encoder's table of words (a power of two), and the ids that they have room for.
 PLACES, KEPT_IDS = 1 << 19, 1 << 21
+#: Bytes of text encoded at once, so that the powers for hashing have no more than 2^19 places.
+ENCODED = (1 << 19) - 1024
 
 
 def slices(text: str, size: int = SLICE) -> Iterator[str]:
@@ -221,7 +223,7 @@ class Encoder:
     def encode_column(self, texts: spans.Text) -> list[np.ndarray]:
         """The ids of each text. Texts of several blocks are cut before white space."""
         out: list[np.ndarray] = []
-        for lo, hi, data, at in texts.blocks():
+        for lo, hi, data, at in texts.blocks(ENCODED):
             if hi == lo + 1 and len(data) > 2 * spans.BLOCK:
                 parts = spans.Text(pa.array(list(slices(data.tobytes().decode(), spans.BLOCK // 2)), pa.string()))
                 longest = int(np.diff(parts.at).max())
