@@ -6,18 +6,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer,
                                 StringIndexer)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
-from ..sources.scratch import written
+from ..sources.scratch import new_path, written
 from .grid_search import grid_scores, sparse_blocks
 
 # Vocabulary size, the search grid and the parameters of the fixed fit.
@@ -88,6 +88,16 @@ def _named(features: PipelineModel, index, model) -> PipelineModel:
     return PipelineModel(stages=[features, model, names])
 
 
+def _read_back(model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model as written and read: without its training summary, which holds the rows and, through them, the session.
+
+    A model that holds the session cannot be sent to tasks once the session has observed a write.
+    """
+    path = new_path(SparkSession.active(), "classifier")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def fit_sentiment(train: DataFrame, label: str = LABEL, text: str = TEXT, c: float = FIXED_C,
                   penalty: str = FIXED_PENALTY, vocabulary: int = VOCABULARY) -> Sentiment:
     """Fit with given parameters. ``train`` holds cleaned text and a label.
@@ -97,7 +107,7 @@ def fit_sentiment(train: DataFrame, label: str = LABEL, text: str = TEXT, c: flo
     """
     features, index, rows = _featured(train, label, text, vocabulary)
     rows = written(rows.select(FEATURES, "label_index"), "featured-rows")
-    model = logistic(c, penalty, rows.count()).fit(rows)
+    model = _read_back(logistic(c, penalty, rows.count()).fit(rows))
     return Sentiment(_named(features, index, model), c, penalty)
 
 
@@ -123,7 +133,7 @@ def fit_sentiment_cv(train: DataFrame, row_id: str, label: str = LABEL, text: st
     finally:
         blocks.unpersist()
     best = max(range(len(choices)), key=lambda i: scores[i])
-    model = logistic(*choices[best], n, max_iter=max_iter).fit(rows)
+    model = _read_back(logistic(*choices[best], n, max_iter=max_iter).fit(rows))
     return Sentiment(_named(features, index, model), *choices[best],
                      tuple((c, p, s) for (c, p), s in zip(choices, scores)))
 

@@ -40,6 +40,13 @@ def test_sentiment_fit_score_and_roundtrip(spark, reviews, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
 
 
+def test_models_score_after_an_observed_write(spark, reviews):
+    from tarnlake.operators.profiling import observed
+    df, _ = observed(spark.range(5))
+    df.write.format("noop").mode("overwrite").save()
+    assert models.score(models.fit_sentiment(reviews, c=10.0).model, reviews).where("prediction = label").count() == 240
+
+
 def test_grid_search_picks_the_best(reviews):
     fitted = models.fit_sentiment_cv(reviews, "id", cs=(0.0001, 10.0), penalties=("l1",), folds=3, max_iter=50)
     assert fitted.c == 10.0 and len(fitted.scores) == 2
