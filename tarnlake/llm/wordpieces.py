@@ -189,7 +189,7 @@ class Encoder:
                 mine[a:b] = False
             starts, ends = starts[mine], ends[mine]
         hashed = spans.span_hash(low, starts, ends)
-        if self.used > KEPT_IDS // 2:
+        if self.used > KEPT_IDS // 8 * 7:
             self._forget()
         place = (hashed & np.uint64(PLACES - 1)).astype(np.int64)
         first, n = self.start[place], self.size[place]
