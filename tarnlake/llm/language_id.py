@@ -39,6 +39,8 @@ from .wordpieces import slices
 #: Words, and n-grams of all orders, whose scores are sent to the tasks; and their greatest length.
 HOT, HOT_LENGTH = 100_000, 64
 ORDERS = (4, 3, 2, 1)
+#: Names counted in a task, and letters read for them, before the counts are sent.
+COMBINED, READ = 200_000, 64_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -52,30 +54,55 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+def _batch(counts: dict[tuple, Counter], names: Sequence[str]) -> pa.RecordBatch:
+    """A row for each counted name; the first columns are the parts of its key."""
+    size = [len(c) for c in counts.values()]
+    keys = [pa.array(values, pa.int32() if name == "k" else pa.string()).take(pa.array(np.repeat(np.arange(len(size)), size)))
+            for name, values in zip(names, list(zip(*counts)) or [()] * len(names))]
+    return pa.RecordBatch.from_arrays(
+        [*keys, pa.array([x for c in counts.values() for x in c], pa.string()),
+         pa.array([n for c in counts.values() for n in c.values()], pa.int64())], names=[*names, "name", "n"])
+
+
 def _word_counts(batches):
-    for batch in batches:
-        counts: dict[str, Counter] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts.setdefault(lang, Counter()).update(words_of(text))
-        for lang, c in counts.items():
+    """Counts are combined over the whole task, and sent when they come to ``COMBINED`` names or ``READ`` letters were read."""
+    counts: dict[tuple, Counter] = {}
+    read = 0
+
+    def sent() -> pa.RecordBatch:
+        for c in counts.values():
             for w in [w for w in c if not any(map(str.isalpha, w))]:
                 del c[w]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())],
-                names=["lang", "name", "n"])
+        return _batch(counts, ["lang"])
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts.setdefault((lang,), Counter()).update(words_of(text))
+            if (read := read + len(text)) > READ:
+                yield sent()
+                counts, read = {}, 0
+        if sum(map(len, counts.values())) > COMBINED:
+            yield sent()
+            counts, read = {}, 0
+    yield sent()
 
 
 def _gram_counts(batches):
+    """Likewise."""
+    counts: dict[tuple, Counter] = {}
+    read = 0
     for batch in batches:
-        counts: dict[tuple[str, int], Counter] = {}
+        marked: dict[str, list[str]] = {}
         for lang, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            marked.setdefault(lang, []).append(f"^{word}$")
+            read += len(word)
+        for lang, words in marked.items():
             for n in ORDERS:
-                counts.setdefault((lang, n), Counter()).update(grams_of(word, n))
-        rows = [(k[0], k[1], g, n) for k, c in counts.items() for g, n in c.items()]
-        columns = list(zip(*rows)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
-                                          pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],
-                                         names=["lang", "k", "name", "n"])
+                counts.setdefault((lang, n), Counter()).update([w[i:i + n] for w in words for i in range(len(w) - n + 1)])
+        if read > READ or sum(map(len, counts.values())) > COMBINED:
+            yield _batch(counts, ["lang", "k"])
+            counts, read = {}, 0
+    yield _batch(counts, ["lang", "k"])
 
 
 class Model:

@@ -1,7 +1,10 @@
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +82,29 @@ def test_every_learnt_word_is_known(spark, monkeypatch):
     assert answers[0] == answers[1] == answers[2]
 
 
+@pytest.mark.parametrize("names,letters", [(200_000, 64_000_000), (3, 64_000_000), (200_000, 10)])
+def test_counts_equal_plain_counts(monkeypatch, names, letters):
+    monkeypatch.setattr(language_id, "COMBINED", names)
+    monkeypatch.setattr(language_id, "READ", letters)
+    rows = [("aa" if i % 3 else "bb", " ".join(words(i % 4, 12, 2)) + " ²½ Ünd 7") for i in range(20)] + [("aa", "")]
+    batches = [pa.record_batch([pa.array(x) for x in zip(*rows[i:i + 6])], names=["lang", "text"]) for i in range(0, len(rows), 6)]
+    plain, got = Counter(), Counter()
+    for lang, text in rows:
+        plain.update((lang, w) for w in re.findall(r"[^\W\d_]+", text.lower()) if any(c.isalpha() for c in w))
+    made = list(language_id._word_counts(iter(batches)))
+    for b in made:
+        got.update({(r["lang"], r["name"]): r["n"] for r in b.to_pylist()})
+    assert got == plain and (len(made) == 1) == ((names, letters) == (200_000, 64_000_000))
+    grams = Counter((lang, k, f"^{w}$"[i:i + k]) for lang, w in plain for k in (4, 3, 2, 1) for i in range(len(w) + 3 - k))
+    got = Counter()
+    for b in language_id._gram_counts(b.select(["lang", "name"]) for b in made):
+        for r in b.to_pylist():
+            got[r["lang"], r["k"], r["name"]] += r["n"]
+    once = Counter({(lang, k, g): n for (lang, k, g), n in grams.items()})
+    assert got == once if len(made) == 1 else set(got) == set(once)
+    assert not next(language_id._word_counts(iter([]))).num_rows and not next(language_id._gram_counts(iter([]))).num_rows
+
+
 def test_limits_of_known_words_are_filled(spark):
     often, once = rare_words(3, "i"), rare_words(30, "u")
     docs = frame(spark, [(1, " ".join(often * 2 + once)), (2, " ".join(once))]).withColumn("lang", F.when(F.col("doc_id") == 1, "aa").otherwise("bb"))
