@@ -360,7 +360,8 @@ def class_links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text:
     shingles = shingles.select("__found.*").join(checked_broadcast(few.select("c", "size")), "c").dropDuplicates(["c"])
     held = written(shingles, "shingles")
     token = held.select("c", F.explode("shingles").alias("s"))
-    often = token.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # written, so that both sides of the joins are shuffled and a shingle of very many classes can be split
+    often = written(token.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-shingles")
     common = token.join(often, "s").groupBy("c").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("l"))
     unshared = F.col("size") - F.size("l")
     sets2 = common.join(held.select("c", "size"), "c").where(unshared <= misses) \
@@ -369,6 +370,7 @@ def class_links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text:
     sets2 = written(sets2, "ordered-sets")
     meet = sets2.select("c", F.explode("prefix").alias("s"))
     least = meet.groupBy("s").agg(F.min("c").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    least = written(least.select("s", "b"), "shingle-heads")
     blocks = components(meet.join(least, "s").select(F.col("c").alias("a"), "b").where("a <> b").distinct())
     blocked = written(sets2.join(blocks, F.col("c") == F.col("node"))
                       .select(F.col("root").alias("block"), "c", "size", "shingles"), "blocks")

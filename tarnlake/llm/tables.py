@@ -69,17 +69,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``root``, the smallest node id reachable, of every node on an edge (long ids).
 
     Alternates large-star and small-star passes until the edge set stays the same: each pass is a
-    grouped minimum, combined in the map tasks, and one join, so no component is gathered in one place.
+    grouped minimum, combined in the map tasks, and one join, so no component is gathered in one place. The
+    minima are written, so that both sides of the join are shuffled and a node of very many edges can be split.
     """
     now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                   .where("u <> v").distinct(), "edges")
     state = _state(now)
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.where("u <> v").distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("x"), "m", "u")
         small = small.select(F.explode(F.array(F.struct(F.col("x").alias("u"), F.col("m").alias("v")),
                                                F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
