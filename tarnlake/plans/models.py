@@ -13,7 +13,7 @@ from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, IndexT
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
@@ -36,22 +36,33 @@ def prepare(docs: DataFrame, text: str = TEXT) -> DataFrame:
     return docs.withColumn(text, clean_text(F.col(text)))
 
 
-def fit_features(train: DataFrame, text: str = TEXT, vocabulary: int = VOCABULARY) -> PipelineModel:
-    """TF-IDF fitted on the training rows only: counts, smoothed idf + 1, unit length."""
+def _counted(train: DataFrame, text: str, vocabulary: int) -> tuple[list, DataFrame]:
+    """Fitted tokeniser and counter, and ``train`` with counts in place of its text, as a written table."""
     tokens = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False,
                             minTokenLength=2, toLowercase=True)
     counter = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=vocabulary)
-    # Three passes read the tokens: vocabulary, counts, document frequencies.
-    words = tokens.transform(train).select("tokens").persist()
+    # Two passes read the tokens: vocabulary and counts.
+    words = tokens.transform(train).drop(text).persist()
     try:
         counts = counter.fit(words)
-        idf = IDF(inputCol="counts", outputCol="idf").fit(counts.transform(words))
+        rows = written(counts.transform(words).drop("tokens"), "counted-rows")
     finally:
         words.unpersist()
+    return [tokens, counts], rows
+
+
+def _weights(counted: DataFrame) -> list:
+    """Stages from counts to features, fitted on these rows."""
+    idf = IDF(inputCol="counts", outputCol="idf").fit(counted)
     weights = ElementwiseProduct(scalingVec=Vectors.dense(idf.idf.toArray() + 1.0), inputCol="counts",
                                  outputCol="weighted")
-    return PipelineModel(stages=[tokens, counts, weights,
-                                 Normalizer(p=2.0, inputCol="weighted", outputCol=FEATURES)])
+    return [weights, Normalizer(p=2.0, inputCol="weighted", outputCol=FEATURES)]
+
+
+def fit_features(train: DataFrame, text: str = TEXT, vocabulary: int = VOCABULARY) -> PipelineModel:
+    """TF-IDF fitted on the training rows only: counts, smoothed idf + 1, unit length."""
+    stages, rows = _counted(train.select(text), text, vocabulary)
+    return PipelineModel(stages=[*stages, *_weights(rows)])
 
 
 def logistic(c: float, penalty: str, rows: int, label: str = "label_index", max_iter: int = MAX_ITER
@@ -73,13 +84,15 @@ class Sentiment:
     scores: tuple[tuple[float, str, float], ...] = ()
 
 
-def _featured(train: DataFrame, label: str, text: str, vocabulary: int):
-    features = fit_features(train, text, vocabulary)
+def _featured(train: DataFrame, label: str, text: str, vocabulary: int, *columns: Column):
+    """Fitted features, label index, and training rows (features, label index, ``columns``) from the written counts."""
     index = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc",
                           handleInvalid="error").fit(train)
     if len(index.labels) > 2:
         raise ValueError(f"two classes are expected, not {index.labels}")
-    return features, index, index.transform(features.transform(train))
+    stages, rows = _counted(index.transform(train).select(text, "label_index", *columns), text, vocabulary)
+    weights = _weights(rows)
+    return PipelineModel(stages=[*stages, *weights]), index, PipelineModel(stages=weights).transform(rows).drop("counts", "weighted")
 
 
 def _named(features: PipelineModel, index, model) -> PipelineModel:
@@ -102,11 +115,10 @@ def fit_sentiment(train: DataFrame, label: str = LABEL, text: str = TEXT, c: flo
                   penalty: str = FIXED_PENALTY, vocabulary: int = VOCABULARY) -> Sentiment:
     """Fit with given parameters. ``train`` holds cleaned text and a label.
 
-    Featured rows are written once and the fit reads that table, so the tasks of its many passes follow the table's
-    bytes and not the shuffle partitions that the rows came from.
+    Texts are split into words once; their counts are written, and the fit reads that table, so the tasks of its many
+    passes follow the table's bytes and not the shuffle partitions that the rows came from.
     """
     features, index, rows = _featured(train, label, text, vocabulary)
-    rows = written(rows.select(FEATURES, "label_index"), "featured-rows")
     model = _read_back(logistic(c, penalty, rows.count()).fit(rows))
     return Sentiment(_named(features, index, model), c, penalty)
 
@@ -118,9 +130,8 @@ def fit_sentiment_cv(train: DataFrame, row_id: str, label: str = LABEL, text: st
 
     All grid points and folds are minimised together (``grid_search``); of equal scores the first grid point wins.
     """
-    features, index, rows = _featured(train, label, text, vocabulary)
     fold = F.pmod(F.xxhash64(row_id), F.lit(folds)).cast("int")
-    rows = written(rows.select(FEATURES, "label_index", fold.alias("fold")), "featured-rows")
+    features, index, rows = _featured(train, label, text, vocabulary, fold.alias("fold"))
     per = {r["fold"]: r["n"] for r in rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     fold_rows = [per.get(k, 0) for k in range(folds)]
     n = sum(fold_rows)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnlake.operators import evaluation as ev
 from tarnlake.operators.split import stratified_split
 from tarnlake.plans import models
-from tarnlake.sources.scratch import new_path
+from tarnlake.sources.scratch import new_path, written
 
 from .registry import query, table
 
@@ -86,9 +86,14 @@ def _texts(spark, sf_dir):
     return models.prepare(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _split(spark, sf_dir):
+    return stratified_split(_labels(spark, sf_dir), "label", "doc_id", 0.8)
+
+
 def _train_test(spark, sf_dir):
-    split = stratified_split(_labels(spark, sf_dir), "label", "doc_id", 0.8)
-    rows = _texts(spark, sf_dir).join(split, "doc_id")
+    """Labelled documents by split. They meet their labels first and are cleaned once, into a written table: fits and scores read it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(_split(spark, sf_dir), "doc_id")
+    rows = written(models.prepare(docs), "labelled-texts")
     return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
