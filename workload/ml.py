@@ -161,20 +161,23 @@ def ml_sentiment_cv(spark, sf_dir):
 
 
 @query("ml_batch_score", f"""
-with l as (select doc_id, {QUALITY} label from labels where doc_id in (select doc_id from documents))
-select label, count(*) labelled, (select count(*) from documents) scored, true more_sure_when_right from l group by label""")
+with l as (select doc_id, {QUALITY} label from labels)
+select d.doc_id, l.label, count(l.label) over (partition by l.label) labelled, count(*) over () scored,
+  true probable, true known_class, true more_sure_when_right from documents d left join l on d.doc_id = l.doc_id""")
 def ml_batch_score(spark, sf_dir):
-    """All documents scored; on the labelled ones the model is surer of its right guesses than of its wrong ones."""
+    """Every document, scored; on the labelled ones the model is surer of its right guesses than of its wrong ones."""
     train, _ = _train_test(spark, sf_dir)
     scored = models.score(models.fit_sentiment(train).model, _texts(spark, sf_dir)).select("doc_id", "prediction", "probability")
-    per = scored.join(_labels(spark, sf_dir), "doc_id", "left").withColumn("right", F.col("prediction") == F.col("label")).groupBy("label").agg(
-        F.count(F.lit(1)).alias("labelled"),
+    scored = written(scored.join(_labels(spark, sf_dir), "doc_id", "left"), "scored")
+    per = scored.withColumn("right", F.col("prediction") == F.col("label")).groupBy("label").agg(
+        F.count("label").alias("labelled"), F.count(F.lit(1)).alias("n"),
         *[F.sum(F.when(F.col("right") == want, x)).alias(name) for want, kind in ((True, "right"), (False, "wrong"))
           for name, x in ((f"{kind}_n", F.lit(1)), (f"{kind}_p", F.col("probability")))])
     every = Window.partitionBy()  # one row for each label, and one for documents without
     mean = {k: F.sum(f"{k}_p").over(every) / F.sum(f"{k}_n").over(every) for k in ("right", "wrong")}
-    return per.select("label", "labelled", F.sum("labelled").over(every).alias("scored"),
-                      (mean["right"] > F.coalesce(mean["wrong"], F.lit(0.0))).alias("more_sure_when_right")).where("label IS NOT NULL")
+    per = per.select(F.col("label").alias("of"), "labelled", F.sum("n").over(every).alias("scored"),
+                     (mean["right"] > F.coalesce(mean["wrong"], F.lit(0.0))).alias("more_sure_when_right"))
+    return _each(scored.join(F.broadcast(per), F.col("label").eqNullSafe(F.col("of"))), "labelled", "scored", "more_sure_when_right")
 
 
 @query("ml_model_roundtrip", f"with {SPLIT} select doc_id, true same from test")
