@@ -166,8 +166,9 @@ select d.doc_id, l.label, count(l.label) over (partition by l.label) labelled, c
   true probable, true known_class, true more_sure_when_right from documents d left join l on d.doc_id = l.doc_id""")
 def ml_batch_score(spark, sf_dir):
     """Every document, scored; on the labelled ones the model is surer of its right guesses than of its wrong ones."""
-    train, _ = _train_test(spark, sf_dir)
-    scored = models.score(models.fit_sentiment(train).model, _texts(spark, sf_dir)).select("doc_id", "prediction", "probability")
+    texts = written(_texts(spark, sf_dir), "texts")
+    train = texts.join(_split(spark, sf_dir).where("split = 'train'"), "doc_id").drop("split")
+    scored = models.score(models.fit_sentiment(train).model, texts).select("doc_id", "prediction", "probability")
     scored = written(scored.join(_labels(spark, sf_dir), "doc_id", "left"), "scored")
     per = scored.withColumn("right", F.col("prediction") == F.col("label")).groupBy("label").agg(
         F.count("label").alias("labelled"), F.count(F.lit(1)).alias("n"),
