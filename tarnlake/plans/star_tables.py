@@ -17,6 +17,15 @@ from ..sources.tables import ensure_schema
 from .star import FACT_COLUMNS
 
 ORDER, MONTH = "order_id", "month_key"
+#: Rows of a bucket: a task joins and sorts one bucket of each table.
+BUCKET_ROWS, LEAST_BUCKETS = 1 << 19, 8
+
+
+def bucket_number(*tables: DataFrame) -> int:
+    """Buckets for tables that are joined by bucket: a power of two that follows the rows of the largest, so a task's share does
+    not grow with them."""
+    most = max(df.count() for df in tables)
+    return max(LEAST_BUCKETS, 1 << (max(1, -(-most // BUCKET_ROWS)) - 1).bit_length())
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str = ORDER) -> DataFrame:

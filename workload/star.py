@@ -154,7 +154,8 @@ def mart_sales(spark, sf_dir):
 
 def _order_tables(spark, s: _Star) -> tuple[star_tables.OrderTables, str]:
     root = new_path(spark, "order-tables")
-    made = star_tables.OrderTables.write("orders_" + root.rsplit("-", 1)[1], root, 8, item=s.item, order=s.order, payment=s.payment,
+    buckets = star_tables.bucket_number(s.item, s.order, s.payment)
+    made = star_tables.OrderTables.write("orders_" + root.rsplit("-", 1)[1], root, buckets, item=s.item, order=s.order, payment=s.payment,
                                          review=s.review, order_dim=s.order_dim)
     return made, root
 
