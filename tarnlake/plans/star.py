@@ -124,12 +124,17 @@ def fact_table_clean(item, order, payment, review, order_dim, product, customer,
     return _fact(item, order, payment, review, present, product, customer, seller, date)
 
 
-def sales_mart(fact, order_dim, product, customer, seller, date, counted: DataFrame | None = None) -> DataFrame:
+def sales_mart(fact, order_dim, product, customer, seller, date, counted: DataFrame | None = None, joined: bool = False) -> DataFrame:
     """Fact with all dimensions, one row per order and unique customer: the smallest by fact columns.
 
     Of an order's rows in the order dimension the smallest is joined. Dimensions have one row per key.
     ``counted`` tells how rows spread over orders and customers, by default the fact itself; give the
-    orders where the fact is not a written table.
+    orders where the fact is not a written table. ``joined`` says that the fact is an inner join with these very
+    dimensions, as ``fact_table`` makes it, so that none of its rows lacks a product, seller or day.
+
+    A customer has one unique customer, so the smallest row per order and customer comes first: the fact is cut
+    to about its orders before it is sent anywhere, and no row that would be dropped later can win, because order
+    and customer are there or not for all of these rows alike.
     """
     lowest = order_dim.groupBy("order_id").agg(
         F.min(F.struct("order_status", "payment_type")).alias("__o")).select(
@@ -137,10 +142,10 @@ def sales_mart(fact, order_dim, product, customer, seller, date, counted: DataFr
     counted = fact if counted is None else counted
     keys = ["order_id", "customer_unique_id"]
     order = [c for c in FACT_COLUMNS if c not in keys]
-    # reduce the narrow fact first: only keys are read from the dimensions, and every join drops what it must drop
-    narrow = skew_join(fact, customer.select("customer_id", "customer_unique_id"), "customer_id", counted=counted)
-    for dim, key in ((seller, "seller_id"), (product, "product_id"), (date, "dateKey"), (order_dim, "order_id")):
+    narrow = fact
+    for dim, key in () if joined else ((seller, "seller_id"), (product, "product_id"), (date, "dateKey")):
         narrow = narrow.join(dim.select(key), key, "left_semi")
-    one = one_per_key(narrow, keys, order)
-    return (one.join(customer.drop("customer_unique_id"), "customer_id").join(lowest, "order_id")
-            .join(seller, "seller_id").join(product, "product_id").join(date, "dateKey"))
+    one = one_per_key(narrow, ["order_id", "customer_id"], [c for c in order if c != "customer_id"])
+    # by order at last, so the smallest row per unique customer is found without another shuffle
+    one = skew_join(one, customer, "customer_id", counted=counted).join(lowest, "order_id")
+    return one_per_key(one, keys, order).join(seller, "seller_id").join(product, "product_id").join(date, "dateKey")

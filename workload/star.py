@@ -149,7 +149,7 @@ def mart_sales(spark, sf_dir):
     """From the fact at its own grain: the repeats of the literal one are equal rows, of which the mart keeps one."""
     s = _Star(spark, sf_dir)
     return star.sales_mart(star.fact_table_clean(*s.parts()), s.order_dim, s.product, s.customer, s.seller, s.date,
-                           counted=s.order)
+                           counted=s.order, joined=True)
 
 
 def _order_tables(spark, s: _Star) -> tuple[star_tables.OrderTables, str]:
