@@ -29,20 +29,23 @@ def tfidf(docs: DataFrame, doc_id: str, text: str, max_features: int = 15_000) -
     The vocabulary is the ``max_features`` terms with the highest total count, ties in term
     order.  Documents are partitioned by id before they are split into terms, so counting
     terms and the norm per document need no shuffle of the far larger term rows; only
-    per-task term totals are shuffled.
+    per-task term totals are shuffled.  Terms outside the vocabulary are dropped before anything is
+    counted per document, and those inside go by their number in it, so these counts have short keys.
     """
     # explode_outer: a plain explode would make Spark infer filters that run the expressions again.
     # The null test on the id is what the join below would add; stated here, both reads are alike.
     tokens = docs.where(F.col(doc_id).isNotNull()).select(
         doc_id, terms(F.col(text)).alias("__terms")).repartition(doc_id)
-    tf = tokens.select(doc_id, F.explode_outer("__terms").alias("term")).where(F.col("term").isNotNull()).groupBy(
-        doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    placed = tokens.select(doc_id, F.explode_outer("__terms").alias("term")).where(F.col("term").isNotNull())
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    vocabulary = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).orderBy(
-        F.desc("total"), F.asc("term")).limit(max_features)
+    totals = placed.groupBy("term").agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("total"), F.asc("term")).limit(max_features)
+    # at most max_features rows
+    vocabulary = totals.select("term", F.row_number().over(Window.orderBy(F.desc("total"), F.asc("term"))).alias("__n")).limit(max_features)
+    tf = placed.join(vocabulary, "term").groupBy(doc_id, "__n").agg(F.count(F.lit(1)).alias("tf"))
+    df = tf.groupBy("__n").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((1 + n_docs) / (1 + F.col("df"))) + 1
-    weights = vocabulary.select("term", idf.alias("idf"))
-    raw = tf.join(weights, "term").select(
+    weights = vocabulary.join(df, "__n").select("__n", "term", idf.alias("idf")).limit(max_features)  # so Spark knows that they are few
+    raw = tf.join(weights, "__n").select(
         doc_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
     # The rows of a document are its distinct terms, at most max_features.
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
